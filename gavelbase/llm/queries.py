@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from gavelbase.functions.text import half_width, id_number, is_blank, strip, time_seconds
 from gavelbase.llm.consensus import representatives
+from gavelbase.llm.entities import match
 from gavelbase.llm.glyphs import look_alikes, same_form
 from gavelbase.llm.leakage import leaks
+from gavelbase.llm.linkage import learn_places, linked, parsed
 from gavelbase.llm.mixing import mix
+from gavelbase.operators.units import convert_units
 from gavelbase.session import table
 
 #: A statement that points elsewhere, reports an error, or is cut off.
@@ -47,6 +50,42 @@ def p1_records(spark: SparkSession, d: str) -> DataFrame:
     return best.groupBy(F.col("item").alias("item_id")).agg(*(F.max(F.when(F.col("field_name") == f, F.col("value"))).alias(f) for f in ("权证情况", "钥匙/占用情况", "建筑面积")))
 
 
+def places(spark: SparkSession, d: str):
+    courts = [table(spark, d, t).select(c) for t, c in (("jd_auction_spider", "处置法院"), ("jd_api_detail_backfill", "法院/处置机构"), ("merge_jd_ali_region_tables", "处置机构"), ("ali_sf_api_detail_backfill", "法院/处置机构"))]
+    return learn_places(courts, table(spark, d, "jd_api_detail_backfill").select("详情省"))
+
+
+def linked_addresses(spark: SparkSession, d: str) -> DataFrame:
+    known = places(spark, d)
+    address = F.when(~is_blank(F.col("完整地址")), F.col("完整地址")).otherwise(F.col("格式化地址"))
+    rows = parsed(table(spark, d, "jd_auction_spider"), "row_id", address, known).unionByName(parsed(table(spark, d, "jd_api_detail_backfill"), "row_id", F.col("详情地址"), known))
+    return linked(rows)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return linked_addresses(spark, d).select("row_id_a", "row_id_b").distinct()
+
+
+def matched_units(spark: SparkSession, d: str) -> DataFrame:
+    known = places(spark, d)
+    merge, ali = table(spark, d, "merge_jd_ali_region_tables"), table(spark, d, "ali_sf_api_detail_backfill")
+
+    def side(df: DataFrame, name: str, area: str, price: str, text_price: bool) -> DataFrame:
+        size = convert_units(df, {area: "area"}).select("row_id", F.round("value", 2).alias("area")).where("area > 0")
+        cost = convert_units(df, {price: "money"}).select("row_id", F.round("value", 2).alias("price")) if text_price else df.select("row_id", F.col(price).alias("price"))
+        return parsed(df, "row_id", F.col(name), known).join(size, "row_id", "left").join(cost.where("price > 0"), "row_id", "left")
+
+    return match(side(merge, "完整地址", "建筑面积", "评估价_元", False), side(ali, "标的物名称", "建筑面积", "评估价_详情_元", True))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return matched_units(spark, d).select(F.col("left_id").alias("merge_row_id"), F.col("right_id").alias("ali_row_id")).distinct()
+
+
+def p3_matches(spark: SparkSession, d: str) -> DataFrame:
+    return matched_units(spark, d).select(F.col("left_id").alias("merge_row_id"), F.col("right_id").alias("ali_row_id"), F.round("confidence", 4).alias("confidence"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -68,7 +107,7 @@ def p10_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_records": p1_records, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_forms": p10_forms,
+    "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_matches": p3_matches, "p6_found": p6_found, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_forms": p10_forms,
 }
 
 _WORDS = "('', '-', '--', '/', 'nan', 'none', 'null', 'n/a', '未知', '无', '暂无', '不适用', '待核实', '不详')"
