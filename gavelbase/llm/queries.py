@@ -12,8 +12,9 @@ from gavelbase.llm.glyphs import look_alikes, same_form
 from gavelbase.llm.leakage import leaks
 from gavelbase.llm.linkage import learn_places, linked, parsed
 from gavelbase.llm.mixing import mix
+from gavelbase.llm.scans import labelled, misread, noise, paragraphs, texts
 from gavelbase.operators.units import convert_units
-from gavelbase.session import table
+from gavelbase.session import checkpoint, table
 
 #: A statement that points elsewhere, reports an error, or is cut off.
 ELSEWHERE = "^(详见|见|参见|请见|参照|同|按|以.*为准)|为准$"
@@ -86,6 +87,20 @@ def p3_matches(spark: SparkSession, d: str) -> DataFrame:
     return matched_units(spark, d).select(F.col("left_id").alias("merge_row_id"), F.col("right_id").alias("ali_row_id"), F.round("confidence", 4).alias("confidence"))
 
 
+def scanned(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    cells = texts(table(spark, d, "ali_sf_local_attachment_second_pass"), ["附件正文文本"]).unionByName(texts(table(spark, d, "jd_auction_spider"), ["附件文本"]))
+    lines = checkpoint(labelled(cells))
+    return lines, misread(lines)
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return noise(*scanned(spark, d)).select("row_id", "line_no", "noise_kind").distinct()
+
+
+def p7_paragraphs(spark: SparkSession, d: str) -> DataFrame:
+    return paragraphs(*scanned(spark, d))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -107,7 +122,7 @@ def p10_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_matches": p3_matches, "p6_found": p6_found, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_forms": p10_forms,
+    "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_matches": p3_matches, "p6_found": p6_found, "p7_found": p7_found, "p7_paragraphs": p7_paragraphs, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_forms": p10_forms,
 }
 
 _WORDS = "('', '-', '--', '/', 'nan', 'none', 'null', 'n/a', '未知', '无', '暂无', '不适用', '待核实', '不详')"
