@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 EARTH_M = 6_371_000.0
 #: At most so many edges are broadcast (40 bytes each, and a few times that for their slabs).
 BROADCAST_EDGES = 20_000
+#: Regions decomposed together.
+LAYER = 64
 #: Points of a cell in one salted group.
 GROUP_POINTS = 200_000
 _EDGES = "region_id bigint, x1 double, y1 double, x2 double, y2 double"
@@ -128,6 +130,21 @@ class Slabs:
         return np.repeat(point, n), self.face_region[at]
 
 
+class Layers:
+    """Decompositions of ``LAYER`` regions each: regions that lie over one another cut each other's slabs, so their number together is bounded."""
+
+    def __init__(self, ids: np.ndarray, edges: np.ndarray):
+        self.ids, number = np.unique(ids, return_inverse=True)
+        n = -(-len(self.ids) // LAYER)
+        self.layers = [Slabs(number[own], edges[own]) for own in (number % n == k for k in range(n))]
+
+    def locate(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the point and region id of each pair."""
+        found = [layer.locate(x, y) for layer in self.layers] or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        region = np.concatenate([r for _, r in found])
+        return np.concatenate([p for p, _ in found]), self.ids[region] if len(self.ids) else region
+
+
 def read_number(c: Column) -> Column:
     """A coordinate: a number as it stands after trimming; words, nan and infinity give null."""
     from gavelbase.functions.text import strip
@@ -190,14 +207,12 @@ def locate(points: DataFrame, edges: DataFrame, cell_degrees: float = 0.25, broa
     schema = "pid bigint, x double, y double, region_id bigint"
     if n_edges <= broadcast_edges:
         rows = edges.toPandas()
-        ids, number = np.unique(rows["region_id"].to_numpy(np.int64), return_inverse=True)
-        shared = spark.sparkContext.broadcast((ids, Slabs(number, rows[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4))))
+        shared = spark.sparkContext.broadcast(Layers(rows["region_id"].to_numpy(np.int64), rows[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4)))
 
         def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            ids, slabs = shared.value
             for x in frames:
-                at, region = slabs.locate(x["x"].to_numpy(float), x["y"].to_numpy(float))
-                yield x.iloc[at].assign(region_id=ids[region] if len(ids) else region)
+                at, region = shared.value.locate(x["x"].to_numpy(float), x["y"].to_numpy(float))
+                yield x.iloc[at].assign(region_id=region)
 
         return points.select("pid", "x", "y").mapInPandas(find, schema)
 
@@ -213,9 +228,9 @@ def locate(points: DataFrame, edges: DataFrame, cell_degrees: float = 0.25, broa
     placed = placed.join(groups, ["i", "j"]).withColumn("salt", F.pmod(F.xxhash64("pid"), F.col("salts").cast("bigint")).cast("int"))
 
     def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        ids, number = np.unique(right["region_id"].to_numpy(np.int64), return_inverse=True)
-        at, region = Slabs(number, right[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4)).locate(left["x"].to_numpy(float), left["y"].to_numpy(float))
-        return left[["pid", "x", "y"]].iloc[at].assign(region_id=ids[region] if len(ids) else region)
+        layers = Layers(right["region_id"].to_numpy(np.int64), right[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4))
+        at, region = layers.locate(left["x"].to_numpy(float), left["y"].to_numpy(float))
+        return left[["pid", "x", "y"]].iloc[at].assign(region_id=region)
 
     return placed.groupBy("i", "j", "salt").cogroup(parts.groupBy("i", "j", "salt")).applyInPandas(meet, schema)
 
