@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gavelbase.functions.lazy import arrow_udf
 from gavelbase.functions.text import SPACE, is_blank, strip
 
 #: Control characters that XML, and so a workbook, may not hold.
@@ -107,7 +108,7 @@ def keyword_sentences(c: Column, words: list[str], most: int = 3) -> Column:
 def division(c: Column) -> Column:
     """A division's name without its endings."""
     for ending in ("特别行政区", "自治区", "自治州", "自治县", "地区", "省", "市", "区", "县", "镇", "街道", "乡"):
-        c = F.when(F.length(c) > len(ending) + 1, F.regexp_replace(c, ending + "$", "")).otherwise(c)
+        c = F.regexp_replace(c, f"^(.{{2,}}){ending}$", "$1")
     return c
 
 
@@ -182,7 +183,7 @@ def coordinate_key(lat: Column, lon: Column) -> Column:
 
 
 def distance_text(m: Column) -> Column:
-    """Whole metres below a kilometre, else kilometres with two decimals."""
+    """Whole metres below a kilometre, else kilometres with two decimals, halves rounded up."""
     return F.when(m < 1000, F.concat(F.bround(m, 0).cast("bigint").cast("string"), F.lit("m"))).otherwise(F.concat(F.format_string("%.2f", m / 1000), F.lit("km")))
 
 
@@ -197,12 +198,12 @@ def text_key_of(s: str | None) -> str:
     return re.sub(r"[\W_]+", "", s)
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def text_key(c: pd.Series) -> pd.Series:
     """A text's key: unescaped, compatibility forms folded, lower case, without noise words and punctuation."""
     return c.map(text_key_of)
 
 
-@F.pandas_udf("string")
+@arrow_udf("string")
 def unescape(c: pd.Series) -> pd.Series:
     return c.map(lambda s: None if s is None else html.unescape(s).replace(" ", " "))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelbase.functions.clean import jsonp
+from gavelbase.functions.lazy import arrow_udf
 from gavelbase.sources.workbook import read_cells
 
 SUFFIXES = ("pdf", "doc", "docx", "xls", "xlsx", "txt", "csv")
@@ -131,7 +132,7 @@ def page_parts(page: str | None) -> tuple[str, list[list[str]]]:
     return "\n".join(s for s in (re.sub(r"[ \t ]+", " ", x).strip() for x in "".join(p.text).split("\n")) if s), p.rows
 
 
-@F.pandas_udf("text string, rows array<array<string>>")
+@arrow_udf("text string, rows array<array<string>>")
 def html_parts(c: pd.Series) -> pd.DataFrame:
     got = [page_parts(x) for x in c]
     return pd.DataFrame({"text": [t for t, _ in got], "rows": [r for _, r in got]})
