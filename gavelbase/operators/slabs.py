@@ -224,15 +224,16 @@ def locate(points: DataFrame, edges: DataFrame, cell_degrees: float = 0.25, broa
     parts = box.select("region_id", cells(F.col("ax"), F.col("bx"), F.col("ay"), F.col("by")).alias("c")).join(edges, "region_id").select(F.col("c.i").alias("i"), F.col("c.j").alias("j"), "region_id", "x1", "y1", "x2", "y2")
     placed = points.where("x is not null and y is not null").select(F.floor(F.col("x") / cell_degrees).alias("i"), F.floor(F.col("y") / cell_degrees).alias("j"), "pid", "x", "y")
     groups = placed.groupBy("i", "j").agg(F.ceil(F.count("*") / GROUP_POINTS).cast("int").alias("salts"))
-    parts = parts.join(groups, ["i", "j"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    placed = placed.join(groups, ["i", "j"]).withColumn("salt", F.pmod(F.xxhash64("pid"), F.col("salts").cast("bigint")).cast("int"))
+    left = placed.join(groups, ["i", "j"]).withColumn("salt", F.pmod(F.xxhash64("pid"), F.col("salts").cast("bigint")).cast("int")).select("i", "j", "salt", "pid", "x", "y")
+    spread = parts.join(groups.toDF("gi", "gj", "n"), (F.col("i") == F.col("gi")) & (F.col("j") == F.col("gj")))
+    right = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("i", "j", "salt", "region_id", "x1", "y1", "x2", "y2").toDF("ri", "rj", "rsalt", "region_id", "x1", "y1", "x2", "y2")
 
     def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         layers = Layers(right["region_id"].to_numpy(np.int64), right[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4))
         at, region = layers.locate(left["x"].to_numpy(float), left["y"].to_numpy(float))
         return left[["pid", "x", "y"]].iloc[at].assign(region_id=region)
 
-    return placed.groupBy("i", "j", "salt").cogroup(parts.groupBy("i", "j", "salt")).applyInPandas(meet, schema)
+    return left.groupBy("i", "j", "salt").cogroup(right.groupBy("ri", "rj", "rsalt")).applyInPandas(meet, schema)
 
 
 def within_distance(points: DataFrame, centres: DataFrame, radius_m: float, point: tuple[str, str, str], centre: tuple[str, str, str], cell_degrees: float = 0.25, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:

@@ -129,7 +129,7 @@ def page_parts(page: str | None) -> tuple[str, list[list[str]]]:
         p.close()
     except Exception:
         return "", []
-    return "\n".join(s for s in (re.sub(r"[ \t ]+", " ", x).strip() for x in "".join(p.text).split("\n")) if s), p.rows
+    return "\n".join(s for s in (re.sub(r"[ \t\u00a0]+", " ", x).strip() for x in "".join(p.text).split("\n")) if s), p.rows
 
 
 @arrow_udf("text string, rows array<array<string>>")
