@@ -9,8 +9,8 @@ The texts are brought to the tasks by a hash of their id before the explosion, s
 another shuffle. Both tables are built from the Unicode database by rule and have a fixed size.
 
 Defined results: a null text stays null, an empty one empty; invisible characters vanish, every kind of space becomes U+0020;
-letter case, line feeds, punctuation other than its width, superscripts and circled signs are kept; repeated ids are kept
-apart by their text. Conjoining Hangul is left decomposed.
+letter case, line feeds, punctuation other than its width, superscripts and circled signs are kept; rows of equal id and text
+come out once, those of equal id and another text each. Conjoining Hangul is left decomposed.
 """
 
 from __future__ import annotations
@@ -99,24 +99,23 @@ def _map(pairs: dict) -> Column:
 
 
 def same_form(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_id, _text and its canonical form ``canonical`` of each row."""
+    """_id, the stored text's hash ``_h`` and its canonical form ``canonical`` of each different row."""
     spark = df.sparkSession
     table, marks = _tables(spark)
-    own = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"))
-    active = F.col("_text").rlike(f"[^{INERT}]")
-    plain = own.where(~F.coalesce(active, F.lit(False))).select("_id", "_text", F.col("_text").alias("canonical"))
-    work = own.where(active).repartition("_id")
-    # pieces: a run of inert code points that no mark follows, or one code point with its marks
+    own = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text")).withColumn("_h", F.xxhash64("_text"))
+    own = own.repartition("_id").dropDuplicates(["_id", "_h"])  # what follows is grouped by id without another shuffle
+    active = F.coalesce(F.col("_text").rlike(f"[^{INERT}]"), F.lit(False))
+    plain = own.where(~active).select("_id", "_h", F.col("_text").alias("canonical"))
+    # pieces: a run of inert code points that no mark follows, or one code point with its marks; the text itself is left behind
     pieces = F.expr(f"regexp_extract_all(_text, '(?s)([{INERT}]+(?![\\\\p{{M}}])|.[\\\\p{{M}}]*)', 1)")
-    piece = work.select("_id", "_text", F.posexplode(pieces).alias("at", "piece"))
+    piece = own.where(active).select("_id", "_h", F.posexplode(pieces).alias("at", "piece"))
     inert = F.col("piece").rlike(f"^[{INERT}]*$")
-    points = piece.select("_id", "_text", "at", F.posexplode(F.when(inert, F.array("piece")).otherwise(F.split("piece", ""))).alias("k", "cp"))
-    mapped = points.join(F.broadcast(table), "cp", "left").select("_id", "_text", "at", "k", F.coalesce("mapped", "cp").alias("cp"))
+    points = piece.select("_id", "_h", "at", F.posexplode(F.when(inert, F.array("piece")).otherwise(F.split("piece", ""))).alias("k", "cp"))
+    mapped = points.join(F.broadcast(table), "cp", "left").select("_id", "_h", "at", "k", F.coalesce("mapped", "cp").alias("cp"))
     rebuilt = F.transform(F.array_sort(F.collect_list(F.struct("at", "k", "cp"))), lambda x: x["cp"])
-    joined = mapped.groupBy("_id", "_text").agg(F.array_join(rebuilt, "").alias("_d"))
-    classes = {m: c for m, c in marks}
-    composed = _compose(F.col("_d"), classes)
-    return plain.unionByName(joined.select("_id", "_text", F.when(F.col("_d").rlike("\\p{M}"), composed).otherwise(F.col("_d")).alias("canonical")))
+    joined = mapped.groupBy("_id", "_h").agg(F.array_join(rebuilt, "").alias("_d"))
+    composed = _compose(F.col("_d"), dict(marks))
+    return plain.unionByName(joined.select("_id", "_h", F.when(F.col("_d").rlike("\\p{M}"), composed).otherwise(F.col("_d")).alias("canonical")))
 
 
 def _compose(text: Column, classes: dict[str, int]) -> Column:
@@ -147,7 +146,7 @@ def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Texts are grouped by the hash of their form and, within it, by stored text; pairs join rows of different stored texts only,
     and forms with a single stored text are left out before the join.
     """
-    forms = same_form(df, id_col, text_col).where("_text is not null").select(F.col("_id").alias("id"), F.xxhash64("_text").alias("t"), F.sha2("canonical", 256).alias("h"))
+    forms = same_form(df, id_col, text_col).where("canonical is not null").select(F.col("_id").alias("id"), F.col("_h").alias("t"), F.sha2("canonical", 256).alias("h"))
     several = forms.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("h")
     rows = forms.join(several, "h")
     a, b = rows.select("h", F.col("id").alias("id_a"), F.col("t").alias("ta")), rows.select("h", F.col("id").alias("id_b"), F.col("t").alias("tb"))

@@ -112,6 +112,6 @@ def mix(df: DataFrame, targets: DataFrame, total_tokens: int | None = None, bloc
     report = (
         small.join(got, "source", "left")
         .select("source", "target_share", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("tokens"), F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents"), F.coalesce("repeats_used", F.lit(0)).cast("int").alias("repeats_used"), "max_repeats")
-        .withColumn("actual_share", F.coalesce(F.col("tokens") / F.sum("tokens").over(Window.partitionBy(F.lit(1))), F.lit(0.0)))
+        .withColumn("actual_share", F.coalesce(F.try_divide("tokens", F.sum("tokens").over(Window.partitionBy(F.lit(1)))), F.lit(0.0)))
     )
     return mixed, report
