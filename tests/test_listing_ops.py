@@ -189,3 +189,23 @@ def test_windowed_counts(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("w_counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r.kind, r.n) for r in spark.table("w_counts").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_pipeline_resumes(spark, tmp_path):
+    from gavelbase.plans.pipeline import Pipeline
+
+    p, fail = Pipeline(spark, str(tmp_path)), [True]
+    p.stage("a")(lambda run: spark.range(3))
+
+    @p.stage("b")
+    def b(run):
+        if fail[0]:
+            raise RuntimeError("stop")
+        return run.table("a").where("id > 0")
+
+    assert [r["ran"] for r in p.run(dry=True)] == [False, False]
+    with pytest.raises(RuntimeError):
+        p.run()
+    fail[0] = False
+    assert [r["ran"] for r in p.run()] == [False, True] and p.table("b").count() == 2
+    assert [r["ran"] for r in p.run(again=("a",))] == [True, True] and [r["ran"] for r in p.run(until="a")] == [False]
