@@ -21,6 +21,8 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gavelbase.session import checkpoint
+
 #: Letters of other scripts that look like a Latin letter, in pairs of strings.
 CYRILLIC = ("АВЕЅІЈКМНОРСТУХЗаеорсухіјѕԁԛԝһ", "ABESIJKMHOPCTYX3aeopcyxijsdqwh")
 GREEK = ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοανικρυγ", "ABEZHIKMNOPTYXoavikpuy")
@@ -146,7 +148,7 @@ def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     Texts are grouped by the hash of their form and, within it, by stored text; pairs join rows of different stored texts only,
     and forms with a single stored text are left out before the join.
     """
-    forms = same_form(df, id_col, text_col).where("canonical is not null").select(F.col("_id").alias("id"), F.col("_h").alias("t"), F.sha2("canonical", 256).alias("h"))
+    forms = checkpoint(same_form(df, id_col, text_col).where("canonical is not null").select(F.col("_id").alias("id"), F.col("_h").alias("t"), F.sha2("canonical", 256).alias("h")))
     several = forms.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("h")
     rows = forms.join(several, "h")
     a, b = rows.select("h", F.col("id").alias("id_a"), F.col("t").alias("ta")), rows.select("h", F.col("id").alias("id_b"), F.col("t").alias("tb"))
