@@ -151,5 +151,9 @@ def look_alikes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     forms = checkpoint(same_form(df, id_col, text_col).where("canonical is not null").select(F.col("_id").alias("id"), F.col("_h").alias("t"), F.sha2("canonical", 256).alias("h")))
     several = forms.groupBy("h").agg(F.min("t").alias("lo"), F.max("t").alias("hi")).where("lo <> hi").select("h")
     rows = forms.join(several, "h")
-    a, b = rows.select("h", F.col("id").alias("id_a"), F.col("t").alias("ta")), rows.select("h", F.col("id").alias("id_b"), F.col("t").alias("tb"))
-    return a.join(b, "h").where("ta <> tb and id_a < id_b").select("id_a", "id_b")
+    texts = rows.select("h", "t").distinct()
+    # different texts of a form meet first, then the rows of each, so that copies of one text never meet one another
+    met = texts.withColumnRenamed("t", "ta").join(texts.withColumnRenamed("t", "tb"), "h").where("ta < tb")
+    left = met.join(rows.select("h", F.col("t").alias("ta"), F.col("id").alias("ia")), ["h", "ta"])
+    both = left.join(rows.select("h", F.col("t").alias("tb"), F.col("id").alias("ib")), ["h", "tb"])
+    return both.where("ia <> ib").select(F.least("ia", "ib").alias("id_a"), F.greatest("ia", "ib").alias("id_b"))

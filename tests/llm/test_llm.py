@@ -72,6 +72,11 @@ def test_look_alikes(spark):
     assert got == [(1, 2), (1, 7), (2, 3), (2, 7), (3, 7)]
 
 
+def test_copies_of_one_text_do_not_meet(spark):
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("价格１００元").alias("text")).unionByName(spark.createDataFrame([(99_999, "价格100元")], "doc_id bigint, text string"))
+    assert glyphs.look_alikes(rows).count() == 60_000
+
+
 # 8 -- leaks
 def test_leaks_find_planted_passages(spark):
     r = random.Random(3)
