@@ -33,6 +33,8 @@ BUDGET = 0.10
 BLOCK_CHARS = 2_000_000
 #: Characters of documents looked at together.
 SCAN_CHARS = 1_000_000
+#: Diagonals of a document lie within this, so a pair and a band make one number.
+SHIFT = 1 << 26
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _DROP = re.compile(r"[\W_]+")
 
@@ -97,35 +99,47 @@ class Index:
         half = self.width // 2
         pair = doc * len(self.ids) + item
         band = diagonal // half  # each pair of neighbouring halves is one band, so bands overlap by half
-        key, inverse = np.unique(np.stack([pair, band]), axis=1, return_inverse=True)
-        count = np.bincount(inverse.ravel(), minlength=key.shape[1])
+        joint = pair * SHIFT + band + SHIFT // 2
+        order = np.argsort(joint)
+        joint, place = joint[order], place[order]
+        first = np.flatnonzero(np.concatenate([[True], joint[1:] != joint[:-1]])) if len(joint) else np.zeros(0, np.int64)
+        count = np.diff(np.append(first, len(joint)))
+        low, high = (np.minimum.reduceat(place, first), np.maximum.reduceat(place, first)) if len(first) else (first, first)
+        pair, band = joint[first] // SHIFT, joint[first] % SHIFT - SHIFT // 2
         follows = np.zeros(len(count), np.int64)
         if len(count) > 1:
-            near = (key[0, 1:] == key[0, :-1]) & (key[1, 1:] == key[1, :-1] + 1)
+            near = (pair[1:] == pair[:-1]) & (band[1:] == band[:-1] + 1)
             follows[:-1][near] = count[1:][near]
         both = count + follows
-        good = np.unique(key[0, both >= self.bound[key[0] % len(self.ids)]])
+        good = np.unique(pair[both >= self.bound[pair % len(self.ids)]]) if len(pair) else pair
         out = []
-        lo, hi = np.searchsorted(key[0], good), np.searchsorted(key[0], good, side="right")
+        lo, hi = np.searchsorted(pair, good), np.searchsorted(pair, good, side="right")
         for p, a, b in zip(good.tolist(), lo.tolist(), hi.tolist()):
             d, i = divmod(p, len(self.ids))
             least = max(4, self.bound[i] // 4)
-            bands = [(int(key[1, k]) * half, int(key[1, k] + 2) * half) for k in range(a, b) if both[k] >= least or count[k] >= least]
+            bands = []
+            for k in range(a, b):
+                if both[k] >= least or count[k] >= least:
+                    n = k + 1 if follows[k] else k
+                    bands.append((int(band[k]) * half, int(band[k] + 2) * half, int(min(low[k], low[n])), int(max(high[k], high[n])) + self.q, int(both[k])))
             found = self._verify(docs[d], self.texts[i], bands)
             if found >= self.share:
                 out.append((d, i, found))
         return out
 
-    def _verify(self, doc: str, item: str, bands: list[tuple[int, int]]) -> float:
+    def _verify(self, doc: str, item: str, bands: list[tuple[int, int, int, int, int]]) -> float:
+        """The share of the item in its two best stretches. A band is aligned where its q-grams lie in the item, with room for edits at both ends; the fullest come first."""
         merged: list[list[int]] = []
-        for lo, hi in sorted(bands):
+        for lo, hi, a, b, n in sorted(bands):
             if merged and lo <= merged[-1][1] and hi - merged[-1][0] <= 8 * self.width:
-                merged[-1][1] = max(hi, merged[-1][1])
+                m = merged[-1]
+                merged[-1] = [m[0], max(hi, m[1]), min(a, m[2]), max(b, m[3]), m[4] + n]
             else:
-                merged.append([lo, hi])
+                merged.append([lo, hi, a, b, n])
         spans: list[tuple[int, int]] = []
-        for lo, hi in merged:
-            todo = [(0, len(item))]
+        best, room = 0, 3 * self.q
+        for lo, hi, low, high, _ in sorted(merged, key=lambda m: -m[4]):
+            todo = [(max(0, low - room), min(len(item), high + room))]
             while todo:
                 a, b = todo.pop()
                 if b - a < 2 * self.q:
@@ -135,10 +149,10 @@ class Index:
                     continue
                 spans.append(s)
                 todo += [(a, s[0]), (s[1], b)]
-        best = max((b - a for a, b in spans), default=0)
-        for k, (a, b) in enumerate(spans):
-            for c, d in spans[k + 1 :]:
-                best = max(best, (b - a) + (d - c) - max(0, min(b, d) - max(a, c)))
+                c, d = s
+                best = max(best, d - c, *((f - e) + (d - c) - max(0, min(d, f) - max(c, e)) for e, f in spans))
+            if best >= 0.99 * len(item):
+                break
         return best / len(item)
 
 
