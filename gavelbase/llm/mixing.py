@@ -5,14 +5,16 @@ source, so every stretch of the schedule has the target shares almost exactly; a
 block it takes. The documents of a source, shuffled by a hash, are laid end to end by their tokens and cut into blocks of
 equal tokens; a source that is too small is shuffled again and repeated, at most as often as allowed.
 
-The number of slots is the largest that no source's tokens times its repeats fall short of, or the one asked for.
+The number of slots is the largest that no source's blocks, repeats included, fall short of, or the one asked for. Where the
+blocks asked for would give less than ``SLOTS_EACH`` slots a target, they are cut smaller, so that a small corpus, or one with a
+small source, still has a mix with the target shares.
 
 Scale: running sums and ranks are made in two steps, within ranges of bounded size and over the ranges' totals, so no source
 is ever ordered in one task. The targets are a small table whose size is checked.
 
 Defined results: documents without a source, or of a source without a target, take no part; a null text has no tokens and is
-left out; a source with a target but without documents limits the mix to nothing and is reported with share 0; repeated
-rows are documents of their own.
+left out; the target shares hold before the size, so the scarcest source sets the size of the whole mix, and a source with a
+target but without documents limits it to nothing and is reported with share 0; repeated rows are documents of their own.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ GOLDEN = (math.sqrt(5) - 1) / 2
 MAX_TARGETS = 10_000
 #: Rows of a source in one range, and slots in one range.
 RANGE_ROWS = 50_000
+#: So many slots for each target at least, on average; below that the blocks are cut smaller.
+SLOTS_EACH = 64
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 _PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 _ENCODINGS: dict = {}
@@ -74,7 +78,7 @@ def mix(df: DataFrame, targets: DataFrame, total_tokens: int | None = None, bloc
     """The mix and its report.
 
     targets: source, target_share, max_repeats. The mix has slot_no, source, block_no, doc_id, repeat_no and tokens; a
-    document belongs to the block in which it starts. The report has source, target_share, actual_share, tokens, documents,
+    document belongs to the block in which it starts. A block has block_tokens tokens, or less where few fit. The report has source, target_share, actual_share, tokens, documents,
     repeats_used and max_repeats.
     """
     spark = df.sparkSession
@@ -89,7 +93,8 @@ def mix(df: DataFrame, targets: DataFrame, total_tokens: int | None = None, bloc
     share_sum = sum(r["target_share"] for r in rows) or 1.0
     limit = min((have.get(r["source"], 0) * r["max_repeats"] / (r["target_share"] / share_sum) for r in rows), default=0.0)
     total = min(limit, total_tokens) if total_tokens is not None else limit
-    slots = max(0, int(total // block_tokens) - 2 * len(rows)) if total_tokens is None else int(total // block_tokens)
+    block_tokens = min(block_tokens, max(1, int(total // (SLOTS_EACH * max(1, len(rows))))))
+    slots = int(total // block_tokens)
     edges, up = [], 0.0
     for r in rows:
         edges.append((r["source"], up, up + r["target_share"] / share_sum))
@@ -99,9 +104,15 @@ def mix(df: DataFrame, targets: DataFrame, total_tokens: int | None = None, bloc
     slot = spark.range(slots).select(F.col("id").alias("slot_no"), source.alias("source"), F.floor(F.col("id") / RANGE_ROWS).alias("r"))
     before = slot.groupBy("source", "r").agg(F.count("*").alias("n")).withColumn("b", F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     slot = slot.join(before.select("source", "r", "b"), ["source", "r"]).withColumn("block_no", F.col("b") + F.row_number().over(Window.partitionBy("source", "r").orderBy("slot_no")) - 1).select("slot_no", "source", "block_no")
-
-    # passes over a source: as many as its share of the slots needs
-    need = {r["source"]: math.ceil((r["target_share"] / share_sum * slots + 2) * block_tokens / have[r["source"]]) if have.get(r["source"]) else 0 for r in rows}
+    # the mix ends before the first slot whose source has no block left; the last block of a source may be a shorter one
+    blocks = spark.createDataFrame([(r["source"], -(-have.get(r["source"], 0) * r["max_repeats"] // block_tokens)) for r in rows], "source string, blocks bigint")
+    end = slot.join(F.broadcast(blocks), "source").where("block_no >= blocks").agg(F.min("slot_no").alias("end")).first()["end"]
+    if end is not None:
+        slots, slot = end, slot.where(F.col("slot_no") < end)
+
+    # passes over a source: as many as its share of the slots needs, which its slots exceed by the discrepancy of the points at most
+    over = 2 * (3 + math.log(slots + 1) / -math.log(GOLDEN))
+    need = {r["source"]: math.ceil((r["target_share"] / share_sum * slots + over) * block_tokens / have[r["source"]]) if have.get(r["source"]) else 0 for r in rows}
     passes = spark.createDataFrame([(r["source"], min(need[r["source"]], r["max_repeats"]), have.get(r["source"], 0)) for r in rows], "source string, passes int, have bigint")
     copies = counted.join(F.broadcast(passes), "source").where("passes > 0").withColumn("repeat_no", F.explode(F.sequence(F.lit(1), F.col("passes"))))
     copies = copies.withColumn("_k", F.concat_ws("\u0001", "source", F.col("repeat_no").cast("string"))).withColumn("_o", F.xxhash64("doc_id", "repeat_no", F.lit(seed))).withColumn("_tie", F.col("doc_id"))

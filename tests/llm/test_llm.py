@@ -142,6 +142,24 @@ def test_mix_of_nothing(spark, monkeypatch):
     assert m == [] and report == {}
 
 
+@pytest.mark.parametrize("n_big,n_small", [(60, 40), (4000, 9)])
+def test_mix_of_few_blocks(spark, monkeypatch, n_big, n_small):
+    rows = [(k, "x" * (10 + k % 21), "big" if k < n_big else "small") for k in range(n_big + n_small)]
+    m, report = mixed(spark, monkeypatch, rows, [("big", 0.8, 2), ("small", 0.2, 2)])
+    have = {s: sum(len(t) for _, t, x in rows if x == s) for s in ("big", "small")}
+    limit = min(have["big"] * 2 / 0.8, have["small"] * 2 / 0.2)
+    assert abs(sum(x.tokens for x in m) - limit) < 0.1 * limit and abs(report["big"].actual_share - 0.8) < 0.03
+    assert len({(x.doc_id, x.repeat_no) for x in m}) == len(m) and {x.repeat_no for x in m} <= {1, 2}
+
+
+def test_mix_ends_where_a_source_has_no_block_left(spark, monkeypatch):
+    rows = [(k, "x" * 10, "abc"[k % 3]) for k in range(3000)]
+    shares = [("a", 0.49, 1), ("b", 0.02, 1), ("c", 0.49, 1)]
+    m, report = mixed(spark, monkeypatch, [r for r in rows if r[2] != "b"] + [r for r in rows if r[2] == "b"][:41], shares, block_tokens=10)
+    slots = {x.slot_no for x in m}
+    assert slots == set(range(max(slots) + 1)) and all(abs(report[s].actual_share - p) < 0.01 for s, p, _ in shares)
+
+
 def test_tokens_of_whole_texts(spark):
     df = spark.createDataFrame([(1, "标的物 abc\n"), (2, None), (3, "")], "doc_id bigint, text string")
     got = {r.doc_id: r.tokens for r in mixing.token_counts(df, "doc_id", "text", []).collect()}
