@@ -158,6 +158,22 @@ def nearest_by_category(spark: SparkSession, d: str) -> DataFrame:
     return got.select("point_id", "category", F.floor(F.col("distance_m") + 0.5).cast("bigint").alias("metres"))
 
 
+def _in_category(c: str) -> str:
+    tags, _, words = nearest.CATEGORIES[c]
+    ok = " or ".join(f"tags['{k}'] in ('yes', 'true', '1')" if v == "yes" else f"tags['{k}'] = '{v}'" for k, v in tags)
+    name = "coalesce(tags['name:zh'], tags['name'], tags['name:en'])"
+    return f"({ok})" + (f" and ({name} is null or " + " or ".join(f"contains({name}, '{w}')" for w in words) + ")" if words else "")
+
+
+@query("with e as (select *, coalesce(case when lat is not null and lon is not null then lat end, center.lat) as y, coalesce(case when lat is not null and lon is not null then lon end, center.lon) as x from poi_elements), p as (" + _COORD + ") "
+    + " union all ".join(f"""select point_id, category, cast(floor(min(m) + 0.5) as bigint) as metres from (select p.row_id as point_id, '{c}' as category, 2 * 6371000.0 * asin(sqrt(pow(sin((radians(e.y) - radians(p.lat)) / 2), 2)
+    + cos(radians(p.lat)) * cos(radians(e.y)) * pow(sin(radians(e.x - p.lon) / 2), 2))) as m from p join e on abs(e.y - p.lat) < 0.05 where coalesce({_in_category(c)}, false)
+    and p.lat between 20.0 and 25.8 and p.lon between 109.0 and 118.0) where m <= {nearest.CATEGORIES[c][1]} group by point_id, category""" for c in nearest.CATEGORIES))
+def nearest_all_categories(spark: SparkSession, d: str) -> DataFrame:
+    got = nearest.nearest(positions(spark, d), table(spark, d, "poi_elements"))
+    return got.select("point_id", "category", F.floor(F.col("distance_m") + 0.5).cast("bigint").alias("metres"))
+
+
 _BASE = f"select id, row_id as base_row, 标题, 评估价 from (select {_id()} as id, *, row_number() over (partition by {_id()} order by row_id) as k from {JD}) where k = 1"
 _DET = f"select id, 标的物名称 as 标题, 评估价_详情_元 as 评估价, 详情地址 from (select {_id()} as id, *, row_number() over (partition by {_id()} order by ingested_at desc, row_id desc) as k from {JDD}) where k = 1"
 

@@ -191,6 +191,14 @@ def test_windowed_counts(spark, tmp_path):
     assert sorted((r.kind, r.n) for r in spark.table("w_counts").collect()) == [("a", 2), ("b", 1)]
 
 
+def test_a_query_finds_all_categories(spark):
+    from gavelbase.operators.nearest import CATEGORIES
+    from gavelbase.plans.listings import QUERIES
+
+    got = QUERIES["nearest_all_categories"](spark, "/root/testdata/sf0.001")
+    assert {r.category for r in got.select("category").distinct().collect()} == set(CATEGORIES)
+
+
 def test_pipeline_resumes(spark, tmp_path):
     from gavelbase.plans.pipeline import Pipeline
 
