@@ -217,3 +217,30 @@ def test_pipeline_resumes(spark, tmp_path):
     fail[0] = False
     assert [r["ran"] for r in p.run()] == [False, True] and p.table("b").count() == 2
     assert [r["ran"] for r in p.run(again=("a",))] == [True, True] and [r["ran"] for r in p.run(until="a")] == [False]
+
+
+def test_pipeline_over_the_tables(spark, tmp_path):
+    import run_pipeline
+
+    d = "/root/testdata/sf0.001"
+    p = run_pipeline.build(spark, d, str(tmp_path))
+    assert [n for n, _ in p.stages] == ["index", "jd_detail", "ali_detail", "ali_second_pass", "aligned", "merged", "organised", *run_pipeline.OPERATORS, "documents_kept", "mix", "shares"]
+    p.run(until="organised")
+    assert {r.source for r in p.table("aligned").select("source").distinct().collect()} == {"jd", "ali"}
+    # every aligned row is a member of one organised row
+    members = [m for r in p.table("organised").select("members").collect() for m in r.members]
+    assert sorted(members) == sorted(r.row_id for r in p.table("aligned").select("row_id").collect())
+    assert {"traffic", "services", "setting", "words", "标题"} <= set(p.table("organised").columns)
+    landed = [F.struct(norm_id(F.col("标的物ID")))]
+    for stage, name in (("jd_detail", "jd_api_detail_backfill"), ("ali_detail", "ali_sf_api_detail_backfill")):
+        ids = spark.read.parquet(f"{d}/{name}.parquet").where("`标的物ID` is not null").select(*landed).distinct().count()
+        assert p.table(stage).where("`标的物ID` is not null").count() == ids
+
+
+def test_documents_kept(spark):
+    import run_pipeline
+
+    docs = spark.createDataFrame([(k,) for k in range(1, 7)], "doc_id bigint")
+    leaks = spark.createDataFrame([(1, 9), (6, 9)], "doc_id bigint, item_id bigint")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "doc_id_a bigint, doc_id_b bigint")
+    assert sorted(r.doc_id for r in run_pipeline.kept(docs, leaks, pairs).collect()) == [2, 4, 5]
