@@ -198,6 +198,15 @@ def test_linked_addresses(spark):
     assert linkage.linked(rows.limit(0)).count() == 0
 
 
+def test_all_provinces_are_known(spark):
+    courts = spark.createDataFrame([("岭海省碧江市绿洲区人民法院",)], "c string")
+    names = [(chr(0x4E00 + k // 40) + chr(0x5000 + k % 40) + "省",) for k in range(1500)]
+    got = linkage.learn_places([courts], spark.createDataFrame(names, "c string"))
+    assert got == Places.of([("碧江市", "绿洲区")], sorted(n for (n,) in names))
+    with pytest.raises(ValueError):
+        linkage.learn_places([courts], spark.range(linkage.MAX_PLACES + 1).selectExpr("concat(id, '省') as c"))
+
+
 def test_expectation_maximization_parts_the_patterns():
     w = linkage.estimate([((0, 0, 0, 0, 0, 1), 500), ((0, 1, 0, 0, 1, 1), 200), ((2, 2, 2, 2, 2, 1), 400), ((0, 0, 2, 2, 2, 1), 100)])
     assert w[(0, 0, 0, 0, 0, 1)] > 0.9 and w[(0, 1, 0, 0, 1, 1)] > 0.9 and w[(2, 2, 2, 2, 2, 1)] < 0.1
