@@ -65,22 +65,23 @@ def _width(line: str) -> int:
 
 
 def returning(keys: list[str]) -> list[bool]:
-    """Whether a line comes again in the text, up to two characters in lines of six and more. Near lines share a half or a third."""
+    """Whether a line comes again in the text, up to two characters in lines of six and more. Near lines share a third; all different ones that share it are compared."""
     count = Counter(keys)
-    seen: dict[tuple, list[int]] = {}
-    out = [count[k] > 1 and bool(k) for k in keys]
-    for i, k in enumerate(keys):
+    again = {k for k, n in count.items() if n > 1 and k}
+    shared: dict[tuple, list[str]] = {}
+    for k in count:
         n = len(k)
-        if n < 6 or n > 60:
-            continue
-        for part, (a, b) in enumerate(((0, n // 3), (n // 3, 2 * n // 3), (2 * n // 3, n))):
-            near = seen.setdefault((n, part, k[a:b]), [])
-            for j in near:
-                if not (out[i] and out[j]) and sum(x != y for x, y in zip(k, keys[j])) <= 2:
-                    out[i] = out[j] = True
-            if len(near) < 4:  # one of four equal thirds is enough to meet a fifth
-                near.append(i)
-    return out
+        if n >= 6:
+            for part, (a, b) in enumerate(((0, n // 3), (n // 3, 2 * n // 3), (2 * n // 3, n))):
+                shared.setdefault((n, part, k[a:b]), []).append(k)
+    for same in shared.values():
+        if len(same) > 1:
+            signs = np.array([[ord(c) for c in k] for k in same], np.int32)
+            for i, k in enumerate(same[:-1]):
+                near = np.flatnonzero((signs[i + 1 :] != signs[i]).sum(axis=1) <= 2)
+                if len(near):
+                    again.update((k, *(same[i + 1 + j] for j in near.tolist())))
+    return [k in again for k in keys]
 
 
 def symbols(lines: list[str], frequent: set[str]) -> list[int]:

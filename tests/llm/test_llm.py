@@ -207,6 +207,17 @@ def test_all_provinces_are_known(spark):
         linkage.learn_places([courts], spark.range(linkage.MAX_PLACES + 1).selectExpr("concat(id, '省') as c"))
 
 
+def test_lines_return_behind_many_with_an_equal_third():
+    body = ["甲乙丙" + c * 6 for c in "子丑寅卯辰巳"]
+    assert scans.returning([*body, "甲乙丙丁戊己庚辛壬", "甲乙丙丁戊己庚申酉"]) == [False] * 6 + [True] * 2
+    long = "".join(chr(0x4E00 + k) for k in range(90))
+    assert scans.returning([long, "另一行不同的字", long[:-1] + "末"]) == [True, False, True]
+    r = random.Random(3)
+    keys = ["".join(r.choice("甲乙") for _ in range(r.choice((0, 3, 6, 8, 70)))) for _ in range(60)]
+    near = lambda a, b: a == b != "" or len(a) == len(b) >= 6 and sum(x != y for x, y in zip(a, b)) <= 2
+    assert scans.returning(keys) == [any(i != j and near(a, b) for j, b in enumerate(keys)) for i, a in enumerate(keys)]
+
+
 def test_expectation_maximization_parts_the_patterns():
     w = linkage.estimate([((0, 0, 0, 0, 0, 1), 500), ((0, 1, 0, 0, 1, 1), 200), ((2, 2, 2, 2, 2, 1), 400), ((0, 0, 2, 2, 2, 1), 100)])
     assert w[(0, 0, 0, 0, 0, 1)] > 0.9 and w[(0, 1, 0, 0, 1, 1)] > 0.9 and w[(2, 2, 2, 2, 2, 1)] < 0.1
