@@ -231,6 +231,11 @@ def except_keys(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).distinct().join(table(spark, d, "supplier").where("s_suppkey > 50").select(F.col("s_nationkey").alias("k")), "k", "left_anti")
 
 
+@query("select distinct c_nationkey as k from customer except select s_nationkey from supplier")
+def except_all_keys(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")).distinct().join(table(spark, d, "supplier").select(F.col("s_nationkey").alias("k")), "k", "left_anti")
+
+
 @query(f"""select 'jd' as source, {_id()} as id, 详情地址 as place, null as area from {JDD} union all select 'ali', {_id()}, null, 建筑面积 from {ALI}""")
 def union_differing(spark: SparkSession, d: str) -> DataFrame:
     jd = table(spark, d, JDD).select(norm_id(F.col("标的物ID")).alias("id"), F.col("详情地址").alias("place"))

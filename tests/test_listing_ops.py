@@ -244,3 +244,12 @@ def test_documents_kept(spark):
     leaks = spark.createDataFrame([(1, 9), (6, 9)], "doc_id bigint, item_id bigint")
     pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "doc_id_a bigint, doc_id_b bigint")
     assert sorted(r.doc_id for r in run_pipeline.kept(docs, leaks, pairs).collect()) == [2, 4, 5]
+
+
+def test_queries_of_whole_columns(spark, tmp_path):
+    from gavelbase.plans.listings import QUERIES
+
+    d = str(tmp_path)
+    spark.createDataFrame([(1,), (2,)], "c_nationkey int").write.parquet(f"{d}/customer.parquet")
+    spark.createDataFrame([(7, 1)], "s_suppkey int, s_nationkey int").write.parquet(f"{d}/supplier.parquet")
+    assert [r.k for r in QUERIES["except_all_keys"](spark, d).collect()] == [2]
