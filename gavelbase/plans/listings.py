@@ -394,6 +394,16 @@ def source_sets(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, JD).select("row_id", clean.add_to_set(clean.add_to_set(F.lit("平台甲"), "平台甲"), "平台乙").alias("src"))
 
 
+_PARTS = "list_filter(string_split_regex(coalesce(附件正文二次解析更新列, ''), '[；;|,，\\s]+'), lambda x: x <> '')"
+
+
+@query(f"select row_id, array_to_string(list_sort(list_distinct(list_append({_PARTS}, '所在层'))), '；') as names from {ALI2}")
+def changed_column_sets(spark: SparkSession, d: str) -> DataFrame:
+    """The packed cells as sets, with one more name."""
+    names = clean.add_to_set(F.col("附件正文二次解析更新列"), "所在层")
+    return table(spark, d, ALI2).select("row_id", F.array_join(F.array_sort(F.split(names, "；")), "；").alias("names"))
+
+
 @query(f"""with a as (select s.poi_id, s.lat, s.lon from (select poi_id, coalesce(case when lat is not null and lon is not null then lat end, center.lat) as lat, coalesce(case when lat is not null and lon is not null then lon end, center.lon) as lon, tags from poi_elements) s where tags['leisure'] = 'park' and lat is not null)
     select a.poi_id, cast(floor(2 * 6371000.0 * asin(sqrt(pow(sin((radians(23.12) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(23.12)) * pow(sin(radians(113.26 - lon) / 2), 2))) + 0.5) as bigint) as metres from a""")
 def distance_to_point(spark: SparkSession, d: str) -> DataFrame:

@@ -247,9 +247,11 @@ def test_documents_kept(spark):
 
 
 def test_queries_of_whole_columns(spark, tmp_path):
-    from gavelbase.plans.listings import QUERIES
+    from gavelbase.plans.listings import ALI2, QUERIES
 
     d = str(tmp_path)
     spark.createDataFrame([(1,), (2,)], "c_nationkey int").write.parquet(f"{d}/customer.parquet")
     spark.createDataFrame([(7, 1)], "s_suppkey int, s_nationkey int").write.parquet(f"{d}/supplier.parquet")
     assert [r.k for r in QUERIES["except_all_keys"](spark, d).collect()] == [2]
+    spark.createDataFrame([(1, None), (2, "b|a；b"), (3, "所在层,")], "row_id bigint, `附件正文二次解析更新列` string").write.parquet(f"{d}/{ALI2}.parquet")
+    assert {r.row_id: r.names for r in QUERIES["changed_column_sets"](spark, d).collect()} == {1: "所在层", 2: "a；b；所在层", 3: "所在层"}
