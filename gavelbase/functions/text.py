@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 #: White space to trim besides ASCII: no-break, ideographic, en and em spaces, zero-width marks.
 SPACE = r"[\s\u00a0\u2000-\u200d\u202f\u2060\u3000\ufeff]"
 
+#: Full-width forms and the ideographic space, and what they are in ASCII.
+WIDE = "".join(chr(x) for x in range(0xFF01, 0xFF5F)) + "\u3000"
+NARROW = "".join(chr(x - 0xFEE0) for x in range(0xFF01, 0xFF5F)) + " "
+
 #: Words that state nothing (fixed values, compared in lower case after trimming).
 EMPTY_WORDS = ("", "-", "--", "/", "nan", "none", "null", "n/a", "未知", "无", "暂无", "不适用", "待核实", "不详")
 
@@ -27,9 +31,14 @@ def non_blank(c: Column) -> Column:
     return F.when(~is_blank(c), strip(c))
 
 
+def half_width(c: Column) -> Column:
+    """Full-width digits and signs as ASCII."""
+    return F.translate(c, WIDE, NARROW)
+
+
 def norm_id(c: Column) -> Column:
-    """A listing id as text: trimmed, without a decimal tail of zeros (``"123.0"`` gives ``"123"``)."""
-    return F.regexp_replace(strip(c.cast("string")), r"\.0+$", "")
+    """A listing id as text: full-width signs narrowed, trimmed, without a decimal tail of zeros (``"１２３.0 "`` gives ``"123"``)."""
+    return F.regexp_replace(strip(half_width(c.cast("string"))), r"\.0+$", "")
 
 
 def id_number(c: Column) -> Column:
@@ -37,12 +46,6 @@ def id_number(c: Column) -> Column:
     return norm_id(c).try_cast("bigint")
 
 
-def half_width(c: Column) -> Column:
-    """Full-width digits and signs as ASCII."""
-    wide = "".join(chr(x) for x in range(0xFF01, 0xFF5F))
-    return F.translate(c, wide + "\u3000", "".join(chr(x - 0xFEE0) for x in range(0xFF01, 0xFF5F)) + " ")
-
-
 _TIME = r"(\d{4})\D+(\d{1,2})\D+(\d{1,2})(?:\D+(\d{1,2})(?:\D+(\d{1,2})(?:\D+(\d{1,2}))?)?)?"
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gavelbase.functions.clean import text_key_of
+from gavelbase.functions.numerals import narrow
 from gavelbase.functions.text import EMPTY_WORDS
 from gavelbase.session import checkpoint
 
@@ -69,7 +70,7 @@ class Fold:
     def platform_key(self, row: dict, source: str) -> str:
         if link := _said(row.get(self.rules.link)).rstrip("/"):
             return f"{source}|link|{link}"
-        if item := re.sub(r"\.0+$", "", _said(row.get(self.rules.item))):
+        if item := re.sub(r"\.0+$", "", narrow(_said(row.get(self.rules.item))).strip()):
             return f"{source}|id|{item}"
         return f"{source}|row|{text_key_of(_said(row.get(self.rules.title)))}|{_figure('date', _said(row.get(self.rules.end)))}"
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelbase.functions import clean, extract
-from gavelbase.functions.text import is_blank, norm_id, strip, time_seconds
+from gavelbase.functions.text import NARROW, WIDE, is_blank, norm_id, strip, time_seconds
 from gavelbase.operators import conform, dedupe, joins, merge, nearest, sequences
 from gavelbase.operators.slabs import great_circle
 from gavelbase.plans.geo_units_packed import positions
@@ -31,7 +31,8 @@ def _blank(c: str) -> str:
 
 
 def _id(c: str = "标的物ID") -> str:
-    return f"regexp_replace({_strip(c)}, '\\.0+$', '')"
+    narrow = f"translate({c}, '{WIDE}', '{NARROW.replace(chr(39), chr(39) * 2)}')"
+    return f"regexp_replace({_strip(narrow)}, '\\.0+$', '')"
 
 
 def query(sql: str | None = None):

@@ -22,7 +22,7 @@ def one(spark, value, f, kind="string"):
     (clean.url, "//x.y/a/", "https://x.y/a"), (clean.number_in_link, "https://x/123456?x", "123456"), (clean.jsonp, 'cb({"a":1});', '{"a":1}'), (clean.jsonp, "plain", "plain"),
     (clean.money, "约1,234.5万元", 12345000.0), (clean.money, "0.5亿", 5e7), (clean.day, "2024年3月5日", "2024-03-05"), (clean.day, "unknown-date-x", "unknown-da"), (clean.number, "1d", None), (clean.number, "nan", None), (clean.number, "1,200.5", 1200.5),
     (clean.division, "清远市", "清远"), (clean.division, "市区", "市区"), (clean.code_prefix, "440000", "44"), (clean.code_prefix, "440100", "4401"), (clean.epoch_text, "1700000000000", "2023-11-14 22:13:20"), (clean.epoch_text, "0", None), (clean.legal, "a\x01b", "ab"),
-    (norm_id, " 123.0 ", "123"), (time_seconds, "2024/4/7 4:22:44", 1712463764), (time_seconds, "2024年09月08日 05时30分33秒", 1725773433), (time_seconds, "none", None), (lambda c: clean.truncate(c, 2), "abc", "ab..."),
+    (norm_id, " 123.0 ", "123"), (norm_id, "６２００００３３６３０２", "620000336302"), (norm_id, "１２３．０", "123"), (time_seconds, "2024/4/7 4:22:44", 1712463764), (time_seconds, "2024年09月08日 05时30分33秒", 1725773433), (time_seconds, "none", None), (lambda c: clean.truncate(c, 2), "abc", "ab..."),
 ])
 def test_scalars(spark, f, value, want):
     assert one(spark, value, f) == want
