@@ -36,7 +36,10 @@ def usable_area(c: Column) -> Column:
 def best_values(spark: SparkSession, d: str, weights: str = "recency") -> DataFrame:
     first = table(spark, d, "ali_sf_attachment_text_backfill")
     second = table(spark, d, "ali_sf_local_attachment_second_pass")
-    a = representatives(first, id_number(F.col("标的物ID")), {c: usable_text(F.col(f"`{c}`")) for c in ("权证情况", "钥匙/占用情况")}, time_seconds(F.col("附件正文抓取时间")), weights=weights)
+    # a reading that came out whole is trusted more than one that came out in part or failed
+    status = F.col("附件正文抓取状态")
+    trust = F.when(status == "成功", 1.0).when(status == "部分成功", 0.75).otherwise(0.5)
+    a = representatives(first, id_number(F.col("标的物ID")), {c: usable_text(F.col(f"`{c}`")) for c in ("权证情况", "钥匙/占用情况")}, time_seconds(F.col("附件正文抓取时间")), weights=weights, trust=trust)
     b = representatives(second, id_number(F.col("标的物ID")), {"建筑面积": usable_area(F.col("建筑面积"))}, time_seconds(F.col("附件正文二次解析时间")), weights=weights)
     return a.unionByName(b)
 
@@ -46,8 +49,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_records(spark: SparkSession, d: str) -> DataFrame:
-    """One surviving record per listing: for each field the best value that any of its rows offers."""
-    best = best_values(spark, d)
+    """One surviving record per listing: for each field the best value that any of its rows offers, by trust, completeness and recency together."""
+    best = best_values(spark, d, "mixed")
     return best.groupBy(F.col("item").alias("item_id")).agg(*(F.max(F.when(F.col("field_name") == f, F.col("value"))).alias(f) for f in ("权证情况", "钥匙/占用情况", "建筑面积")))
 
 
@@ -141,7 +144,7 @@ def _p1(t: str, c: str, time: str, more: str = "true") -> str:
     parts = [f"try_cast(regexp_extract({time}, '(\\d{{4}})\\D+(\\d{{1,2}})\\D+(\\d{{1,2}})\\D+(\\d{{1,2}})\\D+(\\d{{1,2}})\\D+(\\d{{1,2}})', {i}) as bigint)" for i in range(1, 7)]
     stamp = "((((" + parts[0] + " * 12 + " + parts[1] + ") * 31 + " + parts[2] + ") * 24 + " + parts[3] + ") * 60 + " + parts[4] + ") * 60 + " + parts[5]
     return f"""select item_id, '{c.strip('"')}' as field_name, arg_min(row_id, (-t, row_id)) filter (where ok) as row_id from (
-        select try_cast(regexp_replace(trim(标的物ID), '\\.0+$', '') as bigint) as item_id, row_id, {stamp} as t, {_usable(c)} and {more} as ok from {t})
+        select try_cast(regexp_replace(trim(translate(标的物ID, '０１２３４５６７８９．', '0123456789.')), '\\.0+$', '') as bigint) as item_id, row_id, {stamp} as t, {_usable(c)} and {more} as ok from {t})
       where item_id is not null group by item_id having count(*) >= 2 and count(*) filter (where ok) >= 1"""
 
 

@@ -22,7 +22,7 @@ def best(df, weights="recency"):
 
 def test_representatives_take_the_latest_usable_value(spark):
     rows = [
-        (1, "7.0", "2024-01-01 00:00:00", "旧的说法", "80㎡", "x"), (2, " 7", "2024/1/2 0:00:00", "新的说法", "0㎡", "x"), (3, "7", "2024-01-03T00:00:00", "详见附件", None, "x"), (4, "7", "2024年01月02日 00时00分00秒", "新的说法", "见附件", "x"),
+        (1, "７.0", "2024-01-01 00:00:00", "旧的说法", "80㎡", "x"), (2, " 7", "2024/1/2 0:00:00", "新的说法", "0㎡", "x"), (3, "7", "2024-01-03T00:00:00", "详见附件", None, "x"), (4, "7", "2024年01月02日 00时00分00秒", "新的说法", "见附件", "x"),
         (5, "8", None, "只此一句", "", "x"), (6, "8", "2024-01-01 00:00:00", "被截断……", "61.88", "x"), (7, None, "2024-01-01 00:00:00", "无号", "1", "x"), (8, "9", "2024-01-01 00:00:00", "nan", "未知", "x"), (9, "9", "2024-01-01 00:00:00", "附件下载失败:timeout", "/", "x"),
     ]
     df = spark.createDataFrame(rows, "row_id bigint, `标的物ID` string, at string, a string, b string, v string").withColumn("item", F.lit("clash")).withColumn("t", F.lit(1)).withColumn("n", F.lit(2))
@@ -39,6 +39,30 @@ def test_consensus_votes_per_column():
     assert consensus.edits(consensus.tokens("a" * 3000), ()) == 1
 
 
+def test_long_differing_middles_are_aligned_exactly(monkeypatch):
+    r = random.Random(7)
+    a = [chr(0x4E00 + r.randrange(3000)) for _ in range(900)]
+    b = a[:5] + ["甲"] + a[5:450] + a[451:895] + ["乙"] + a[895:]
+    b[0], b[-1] = "丙", "丁"
+    assert consensus.edits(tuple(a), tuple(b)) == 5
+    monkeypatch.setattr(consensus, "CELLS", 50)
+    for _ in range(40):
+        x, y = (tuple(r.choice("甲乙丙") for _ in range(r.randrange(1, 40))) for _ in "ab")
+        cost = list(range(len(y) + 1))
+        for i, t in enumerate(x, 1):
+            last, cost = cost, [i]
+            for j, u in enumerate(y, 1):
+                cost.append(min(last[j - 1] + (t != u), last[j] + 1, cost[j - 1] + 1))
+        assert consensus._align.__wrapped__ and sum(i < 0 or j < 0 or x[i] != y[j] for i, j in consensus._align.__wrapped__(x, y)) == cost[-1]
+
+
+def test_mixed_weights_prefer_what_is_full_trusted_and_recent(spark):
+    rows = [(1, "1", "2024-01-01 00:00:00", "房屋空置，钥匙已移交法院", "1", 1.0), (2, "1", "2024-01-02 00:00:00", "房屋空置，钥匙已移交法院", "1", 1.0), (3, "1", "2024-01-03 00:00:00", "空置", "1", 0.5), (4, "2", "2024-01-01 00:00:00", "由承租人使用", "1", 0.0), (5, "2", "2024-01-02 00:00:00", "已腾空并移交", "1", None), (6, "2", "2024-01-03 00:00:00", "由产权人使用", "1", 1.0)]
+    df = spark.createDataFrame(rows, "row_id bigint, `标的物ID` string, at string, a string, b string, sure double")
+    get = lambda weights: {r.item: r.value for r in consensus.representatives(df, id_number(F.col("标的物ID")), {"a": usable_text(F.col("a"))}, time_seconds(F.col("at")), weights=weights, trust=F.col("sure")).collect()}
+    assert get("mixed") == {1: "房屋空置，钥匙已移交法院", 2: "由产权人使用"} and get("recency") == {1: "空置", 2: "由产权人使用"}
+
+
 def test_hot_group_is_folded_in_chunks(spark):
     r = random.Random(1)
     rows = [(k, "1", f"2024-01-{k // 1440 % 28 + 1:02} {k // 60 % 24:02}:{k % 60:02}:00", f"第{r.randrange(10**6)}号说法", "1") for k in range(900)]
