@@ -7,10 +7,14 @@ and is fitted on the line sequences of all texts (Viterbi training; sequences ar
 once). Paragraphs are put together from the body lines; a hyphen at a line's end within a word is taken out.
 
 Misread characters are found in the running text by their contexts: a character is misread where its neighbours call for
-another one almost everywhere in the corpus, and the two are confused in several different contexts. All texts are counted.
+another one almost everywhere in the corpus, and the two are confused in several different contexts. All texts are counted. A
+character may come apart in two: two characters that nearly always stand together are read as one sign, whose contexts tell
+whether they should be one.
 
-Scale: contexts are counted within tasks before they are shuffled and joined by hash; only the pairs of confused characters
-and the frequent lines, both of bounded number, are sent to all tasks.
+Scale: texts are taken through in batches, all lines' states and all characters' contexts of a batch at once. Contexts are
+first counted in a table of hashed counters, of bounded size, which leaves out those that can't reach ``LEAST`` uses; the rest
+are counted exactly, within tasks before they are shuffled, and joined by hash. Only the pairs of confused characters, the
+signs (no more than half the code points), the counters' bits and the frequent lines are sent to all tasks.
 
 Defined results: a null or empty text gives no rows; a text of one line is body; very long texts take time linear in their
 length; repeated rows each give their rows; ids need not be unique across the given fields.
@@ -24,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +45,14 @@ TOP, RARE, LEAST = 0.8, 0.15, 20
 COVER, COVER_RARE, OWN = 0.45, 0.1, 0.1
 MAX_PAIRS = 50_000
 #: Characters counted together in a task, and counts held before they are passed on.
-CHARS, HELD = 100_000, 400_000
-#: Characters that come apart in two when misread, and a sign that stands for them.
-SPLIT = {"彳亍": ("\ue000", "行")}
+CHARS, HELD = 400_000, 2_000_000
+#: Hashed counters: two to a power within these, by the corpus' size.
+COUNTERS = (16, 24)
+#: Two characters are one sign where their joint uses hold this share of the uses of each; signs are numbered from a private plane.
+JOINT, SIGN = 0.8, 0xF0000
 #: Fixed values.
 HYPHENS = "-‐‑­－–"
+_HYPHENS = set(HYPHENS)
 _DIGIT = "0-9OoIlSBZ"
 _HAN = "一二三四五六七八九十百零〇"
 _MARK = r"[-—–·~～=]{1,3}"
@@ -56,12 +64,22 @@ SYMBOLS = 19
 SCHEMA = "row_id bigint, field_name string, text string"
 
 
+_ANY_DIGIT = re.compile(r"\d")
+_MARKS = re.compile("[，。；]")
+
+
 def line_key(line: str) -> str:
-    return _LIKE_DIGIT.sub("9", re.sub(r"\s+", "", line))
+    s = "".join(line.split())
+    return _LIKE_DIGIT.sub("9", s) if _ANY_DIGIT.search(s) else s
+
+
+def key_hash(key: str) -> int:
+    h = xxhash.xxh64_intdigest(key)
+    return h - (1 << 64) if h >> 63 else h
 
 
 def _width(line: str) -> int:
-    return sum(1 if c < "⺀" else 2 for c in line)
+    return len(line) + sum(map("⺀".__le__, line))
 
 
 def returning(keys: list[str]) -> list[bool]:
@@ -84,10 +102,10 @@ def returning(keys: list[str]) -> list[bool]:
     return [k in again for k in keys]
 
 
-def symbols(lines: list[str], frequent: set[str]) -> list[int]:
+def symbols(lines: list[str], frequent: set[int]) -> list[int]:
     """The observation of each line."""
     stripped = [x.strip() for x in lines]
-    page = [bool(_PAGE.match(s)) for s in stripped]
+    page = [len(s) <= 40 and bool(_PAGE.match(s)) for s in stripped]  # no form of a page number is longer
     keys = ["" if p else line_key(s) for p, s in zip(page, stripped)]
     again = returning(keys)
     widths = Counter(_width(x.rstrip()) for x, s, p, r in zip(lines, stripped, page, again) if s and not p and not r)
@@ -105,8 +123,8 @@ def symbols(lines: list[str], frequent: set[str]) -> list[int]:
         elif page[i]:
             out.append(1 + (i in edge))
         else:
-            like_body = bool(re.search("[，。；]", s)) or lines[i].startswith("\u3000\u3000") or bool(_END.search(s)) or bool(_BROKEN.search(lines[i])) or abs(_width(lines[i].rstrip()) - usual) <= 2 or len(s) > 60
-            out.append(3 + again[i] * 8 + (i in edge) * 4 + like_body * 2 + (keys[i] in frequent))
+            like_body = bool(_MARKS.search(s)) or lines[i].startswith("\u3000\u3000") or bool(_END.search(s)) or bool(_BROKEN.search(lines[i])) or abs(_width(lines[i].rstrip()) - usual) <= 2 or len(s) > 60
+            out.append(3 + again[i] * 8 + (i in edge) * 4 + like_body * 2 + (key_hash(keys[i]) in frequent))
     return out
 
 
@@ -128,45 +146,74 @@ def first_guess() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.log(start), np.log(step), np.log(emit / emit.sum(axis=1, keepdims=True))
 
 
+#: Cells of sequences decoded together.
+DECODED = 2_000_000
+
+
+def decode_all(sequences: list, model: tuple) -> list[np.ndarray]:
+    """The likeliest states of each sequence: all sequences of about one length take each step together."""
+    start, step, emit = (np.asarray(x) for x in model)
+    size = np.array([len(x) for x in sequences], np.int64)
+    out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(sequences)
+    order = np.argsort(-size, kind="stable")
+    order = order[: int((size > 0).sum())]
+    at = 0
+    while at < len(order):
+        longest = int(size[order[at]])
+        own = order[at : at + max(1, DECODED // longest)]
+        at += len(own)
+        n = size[own]
+        seen = np.zeros((len(own), longest), np.int64)
+        inside = np.arange(longest) < n[:, None]
+        seen[inside] = np.concatenate([np.asarray(sequences[k], np.int64) for k in own])
+        score = start + emit[:, seen[:, 0]].T
+        back = np.zeros((longest, len(own), 4), np.int8)
+        for t in range(1, longest):
+            go = int(np.searchsorted(-n, -t, side="left"))  # the sequences that are longer, which come first
+            by = score[:go, :, None] + step
+            back[t, :go] = by.argmax(axis=1)
+            score[:go] = by.max(axis=1) + emit[:, seen[:go, t]].T
+        path = np.zeros((len(own), longest), np.int32)
+        state = score.argmax(axis=1)
+        for t in range(longest - 1, -1, -1):
+            go = int(np.searchsorted(-n, -t, side="left"))
+            path[:go, t] = state[:go]
+            if t:
+                state[:go] = back[t, np.arange(go), state[:go]]
+        for k, p, m in zip(own.tolist(), path, n.tolist()):
+            out[k] = p[:m]
+    return out
+
+
 def decode(observed: list[int], model: tuple) -> list[int]:
     """The likeliest states."""
-    start, step, emit = model
-    if not observed:
-        return []
-    score = [start[s] + emit[s][observed[0]] for s in range(4)]
-    back = []
-    for o in observed[1:]:
-        came, new = [], []
-        for s in range(4):
-            best = max(range(4), key=lambda r: score[r] + step[r][s])
-            came.append(best)
-            new.append(score[best] + step[best][s] + emit[s][o])
-        back.append(came)
-        score = new
-    path = [max(range(4), key=score.__getitem__)]
-    for came in reversed(back):
-        path.append(came[path[-1]])
-    return path[::-1]
+    return decode_all([observed], model)[0].tolist()
 
 
 def fit(sequences: DataFrame, rounds: int = 2) -> tuple:
     """The model fitted on counted sequences: seq array<int>, n."""
     model = first_guess()
     for _ in range(rounds):
-        plain = tuple(x.tolist() for x in model)
 
-        def tally(frames: Iterator[pd.DataFrame], plain=plain) -> Iterator[pd.DataFrame]:
-            total: Counter = Counter()
+        def tally(frames: Iterator[pd.DataFrame], model=model) -> Iterator[pd.DataFrame]:
+            start, step, emit = np.zeros(4, np.int64), np.zeros(16, np.int64), np.zeros(4 * SYMBOLS, np.int64)
             for x in frames:
-                for seq, n in zip(x["seq"], x["n"]):
-                    path = decode(list(seq), plain)
-                    if path:
-                        total["start", path[0], 0] += n
-                    for a, b in zip(path, path[1:]):
-                        total["step", a, b] += n
-                    for s, o in zip(path, seq):
-                        total["emit", s, int(o)] += n
-            yield pd.DataFrame([(*k, n) for k, n in total.items()], columns=["what", "a", "b", "n"])
+                keep = [k for k, q in enumerate(x["seq"]) if len(q)]
+                if not keep:
+                    continue
+                seqs, times = [x["seq"].iloc[k] for k in keep], x["n"].to_numpy(np.int64)[keep]
+                paths = decode_all(seqs, model)
+                size = np.array([len(p) for p in paths])
+                state, seen, n = np.concatenate(paths).astype(np.int64), np.concatenate(seqs).astype(np.int64), np.repeat(times, size)
+                ends = np.cumsum(size) - 1
+                inner = np.ones(len(state), bool)
+                inner[ends] = False
+                inner = np.flatnonzero(inner)
+                start += np.bincount(state[ends - size + 1], times, 4).astype(np.int64)
+                step += np.bincount(state[inner] * 4 + state[inner + 1], n[inner], 16).astype(np.int64)
+                emit += np.bincount(state * SYMBOLS + seen, n, 4 * SYMBOLS).astype(np.int64)
+            rows = [("start", k, 0, v) for k, v in enumerate(start)] + [("step", k // 4, k % 4, v) for k, v in enumerate(step)] + [("emit", k // SYMBOLS, k % SYMBOLS, v) for k, v in enumerate(emit)]
+            yield pd.DataFrame([r for r in rows if r[3]], columns=["what", "a", "b", "n"])
 
         rows = sequences.mapInPandas(tally, "what string, a int, b int, n bigint").groupBy("what", "a", "b").agg(F.sum("n").alias("n")).collect()  # at most 4 + 16 + 76 rows
         guess = [np.exp(x) * 20 for x in first_guess()]  # the guess counts as so many lines, so that small corpora stay near it
@@ -177,7 +224,7 @@ def fit(sequences: DataFrame, rounds: int = 2) -> tuple:
             else:
                 (step if r["what"] == "step" else emit)[r["a"], r["b"]] += r["n"]
         model = (np.log(start / start.sum()), np.log(step / step.sum(axis=1, keepdims=True)), np.log(emit / emit.sum(axis=1, keepdims=True)))
-    return tuple(x.tolist() for x in model)
+    return model
 
 
 def next_body(i: int, path: list[int]) -> int:
@@ -189,14 +236,31 @@ def next_body(i: int, path: list[int]) -> int:
 
 def broken(lines: list[str], path: list[int], i: int) -> bool:
     """Whether a body line ends within a word that the next line of text goes on with."""
-    if path[i] != BODY or not _BROKEN.search(lines[i]):
+    if path[i] != BODY or lines[i].rstrip()[-1:] not in _HYPHENS or not _BROKEN.search(lines[i]):
         return False
     j = next_body(i, path)
     return j < len(path) and bool(re.match(r"\s*[a-z]", lines[j]))
 
 
-def running_text(lines: list[str], path: list[int]) -> tuple[str, list[int], list[int]]:
-    """The body's characters without white space and broken words' hyphens, with the line (from 1) and the place in it of each."""
+class Signs:
+    """Pairs of characters that are also read as one sign each, numbered from ``SIGN``."""
+
+    def __init__(self, pairs: list[tuple[int, int]]):
+        self.keys = np.array(sorted(a << 21 | b for a, b in pairs), np.int64)
+        self.first = np.zeros(0x110000, bool)
+        self.first[self.keys >> 21] = True
+
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a sign begins, and its number."""
+        at = np.flatnonzero(self.first[codes[:-1]]) if len(codes) and len(self.keys) else np.zeros(0, np.int64)
+        key = codes[at].astype(np.int64) << 21 | codes[at + 1].astype(np.int64)
+        k = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        good = np.flatnonzero(self.keys[k] == key) if len(at) else k
+        return at[good], k[good] + SIGN
+
+
+def running_text(lines: list[str], path: list[int], placed: bool = True) -> tuple[str, list[int], list[int]]:
+    """The body's characters without white space and broken words' hyphens, with the line (from 1) and the place in it of each if ``placed``."""
     chars, line_no, place = [], [], []
     for i, (x, s) in enumerate(zip(lines, path)):
         if s != BODY:
@@ -206,26 +270,22 @@ def running_text(lines: list[str], path: list[int]) -> tuple[str, list[int], lis
             end -= 1
         k = len(x) - len(x.lstrip())
         part = x[k:end]
-        if len(part.split()) == 1 and not any(p in part for p in SPLIT):
-            chars.append(part)
-            line_no += [i + 1] * len(part)
-            place += range(k, end)
-            continue
-        while k < end:
-            c, size = x[k], 1
-            if x[k : k + 2] in SPLIT and k + 2 <= end:
-                c, size = SPLIT[x[k : k + 2]][0], 2
-            if not c.isspace():
-                chars.append(c)
-                line_no.append(i + 1)
-                place.append(k)
-            k += size
+        words = part.split()
+        chars += words
+        if placed:
+            at = range(k, end) if len(words) == 1 else [k + j for j, c in enumerate(part) if not c.isspace()]
+            line_no += [i + 1] * len(at)
+            place += at
     return "".join(chars), line_no, place
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
 def _classes(text: str) -> np.ndarray:
     """Code points; digits are one class."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    c = _codes(text).astype(np.uint64)
     return np.where((c >= 48) & (c <= 57), np.uint64(48), c)
 
 
@@ -237,20 +297,38 @@ CONTEXTS = ((-2, -1, 1), (-1, 1, 2), (-3, -2, -1), (1, 2, 3), (-6, -5, -4, -3, -
 NO_CONTEXT = -1
 
 
-def contexts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each character and its contexts' hashes (one row per kind); the text's ends are a class of their own."""
-    c = _classes(text)
-    padded = np.concatenate([np.zeros(6, np.uint64), c, np.zeros(3, np.uint64)])
+#: Class of what lies between texts, as far as a context reaches.
+BETWEEN = "\0" * 6
+
+
+def together(texts: list[str]) -> str:
+    """Texts in one line, parted so that no context reaches from one to another."""
+    return BETWEEN + BETWEEN.join(texts) + BETWEEN
+
+
+def contexts(c: np.ndarray, at: np.ndarray, size: int = 1) -> np.ndarray:
+    """Hashes of the contexts (one row per kind) of what stands at the places and is ``size`` characters long. c: classes of texts put together; the texts' ends are a class of their own."""
     out = []
     for kind, places in enumerate(CONTEXTS):
-        h = np.full(len(c), kind + 1, np.uint64)
-        some = np.zeros(len(c), bool)
+        h = np.full(len(at), kind + 1, np.uint64)
+        some = np.zeros(len(at), bool)
         for p in places:
-            some |= padded[6 + p : 6 + p + len(c)] != 0
-            h = (h ^ padded[6 + p : 6 + p + len(c)]) * np.uint64(0x9E3779B97F4A7C15)
+            near = c[at + (p if p < 0 else p + size - 1)]
+            some |= near != 0
+            h = (h ^ near) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
         out.append(np.where(some, ((h >> np.uint64(3)) << np.uint64(3) | np.uint64(kind)).view(np.int64), NO_CONTEXT))
-    return c.astype(np.int64), np.array(out).reshape(len(CONTEXTS), -1)
+    return np.array(out).reshape(len(CONTEXTS), -1)
+
+
+def units(text: str, signs: Signs) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """Class, place, and classes of the whole with the size: first all characters, then all signs of texts put together."""
+    codes = _codes(text)
+    c = _classes(text)
+    at = np.flatnonzero(c)
+    yield c[at].astype(np.int64), at, c, 1
+    at, number = signs.find(codes)
+    yield number, at, c, 2
 
 
 def labelled(df: DataFrame) -> DataFrame:
@@ -265,11 +343,14 @@ def labelled(df: DataFrame) -> DataFrame:
             for t in x["text"]:
                 lines = [s for s in (y.strip() for y in t.split("\n")) if s]
                 if len(lines) > 2:
-                    total.update({k for k in (line_key(s) for s in lines if len(s) <= 60 and not _END.search(s)) if k})
+                    total.update({key_hash(k) for k in (line_key(s) for s in lines if not _END.search(s)) if k})
+                if len(total) > HELD:
+                    yield pd.DataFrame(list(total.items()), columns=["key", "n"])
+                    total = Counter()
             yield pd.DataFrame(list(total.items()), columns=["key", "n"])
 
     least = max(3, int(FREQUENT * n))
-    often = own.select("text").mapInPandas(keys, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key").collect()  # at most lines per text / FREQUENT
+    often = own.select("text").mapInPandas(keys, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key").collect()  # at most lines per text / FREQUENT
     frequent = spark.sparkContext.broadcast({r["key"] for r in often})
 
     def observe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -282,67 +363,115 @@ def labelled(df: DataFrame) -> DataFrame:
     @F.pandas_udf("array<int>")
     def states(seq: pd.Series) -> pd.Series:
         # a single line is running text, whatever texts begin with
-        return pd.Series([decode(list(s), model) if np.count_nonzero(s) > 1 else [BLANK if o == 0 else BODY for o in s] for s in seq])
+        return pd.Series([p if np.count_nonzero(s) > 1 else np.where(np.asarray(s) == 0, BLANK, BODY).astype(np.int32) for s, p in zip(seq, decode_all(list(seq), model))])
 
     return observed.select("row_id", "field_name", "text", states("seq").alias("path"))
 
 
+def signs_of(lines: DataFrame) -> Signs:
+    """Pairs of characters that hardly occur but together. Each character has one such partner on each side at most, so they number no more than half the code points."""
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in frames:
+            c = _codes("\n".join(x["text"])).astype(np.int64)
+            han = c >= 0x2E80
+            one, n = np.unique(c[han], return_counts=True)
+            yield pd.DataFrame({"a": one, "b": -1, "n": n})
+            two, n = np.unique((c[:-1] << 21 | c[1:])[han[:-1] & han[1:]], return_counts=True)
+            yield pd.DataFrame({"a": two >> 21, "b": two & 0x1FFFFF, "n": n})
+
+    n = lines.select("text").mapInPandas(count, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    n = checkpoint(n)
+    one, two = n.where("b < 0"), n.where("b >= 0 and a <> b")
+    both = two.join(one.selectExpr("a", "n as na"), "a").join(one.selectExpr("a as b", "n as nb"), "b")
+    got = both.where((F.col("n") >= LEAST) & (F.col("n") >= JOINT * F.greatest("na", "nb"))).select("a", "b").collect()
+    return Signs([(r["a"], r["b"]) for r in got if chr(r["a"]).isalnum() and chr(r["b"]).isalnum()])
+
+
 def misread(lines: DataFrame) -> DataFrame:
-    """row_id, field_name, line_no, place and the right character of each misread one. lines: see :func:`labelled`."""
+    """row_id, field_name, line_no, place, the right character of each misread one and how many characters stand for it. lines: see :func:`labelled`."""
     spark = lines.sparkSession
     base = len(CONTEXTS)
+    signs = spark.sparkContext.broadcast(signs_of(lines))
 
-    def tally(got: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-        ch = np.concatenate([np.tile(c, base) for c, _ in got])
-        ctx = np.concatenate([h.ravel() for _, h in got])
-        ch, ctx = ch[ctx != NO_CONTEXT], ctx[ctx != NO_CONTEXT]
-        if not len(ctx):
-            return pd.DataFrame({"ctx": ctx, "ch": ch, "n": ctx})
-        order = np.lexsort((ch, ctx))
-        ctx, ch = ctx[order], ch[order]
-        first = np.flatnonzero(np.concatenate([[True], (ctx[1:] != ctx[:-1]) | (ch[1:] != ch[:-1])]))
-        return pd.DataFrame({"ctx": ctx[first], "ch": ch[first], "n": np.diff(np.append(first, len(ctx)))})
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
-        size = chars = 0
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in frames:
+            yield pd.DataFrame({"run": [running_text(t.split("\n"), list(p), placed=False)[0] for t, p in zip(x["text"], x["path"])]})
 
-        def drain() -> pd.DataFrame:
-            out = pd.concat(held).groupby(["ctx", "ch"], as_index=False, sort=False)["n"].sum()
-            held.clear()
-            return out
+    runs = checkpoint(lines.select("text", "path").mapInPandas(run, "run string").where("run <> ''"))
+    chars = runs.agg(F.sum(F.length("run"))).first()[0] or 0
+    power = int(np.clip(np.ceil(np.log2(max(base * chars / 16, 1))), *COUNTERS))
 
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[str]:
+        waiting, size = [], 0
         for x in frames:
-            for t, p in zip(x["text"], x["path"]):
-                text = running_text(t.split("\n"), list(p))[0]
-                if not text:
-                    continue
-                waiting.append(contexts(text))
-                chars += len(text)
-                if chars >= CHARS:
-                    held.append(tally(waiting))
-                    size, waiting, chars = size + len(held[-1]), [], 0
-                if size >= HELD:
-                    whole = drain()
-                    if len(whole) > HELD // 2:
-                        yield whole
-                        size = 0
-                    else:
-                        held.append(whole)
-                        size = len(whole)
+            for t in x["run"]:
+                waiting.append(t)
+                size += len(t)
+                if size >= CHARS:
+                    yield together(waiting)
+                    waiting, size = [], 0
         if waiting:
-            held.append(tally(waiting))
+            yield together(waiting)
+
+    counter = lambda h: ((h.view(np.uint64) >> np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - power)).astype(np.int64)
+
+    def first_count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.zeros(1 << power, np.int64)
+        for text in batches(frames):
+            for _, at, c, size in units(text, signs.value):
+                for h in contexts(c, at, size):
+                    table += np.bincount(counter(h[h != NO_CONTEXT]), minlength=1 << power)
+        at = np.flatnonzero(table)
+        yield pd.DataFrame({"k": at, "n": table[at]})
+
+    # contexts used less often can neither call for a character nor be doubted
+    often = runs.mapInPandas(first_count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("k")
+    bits = np.zeros(1 << power, bool)
+    bits[often.toPandas()["k"].to_numpy(np.int64)] = True  # at most as many rows as there are counters
+    reach = spark.sparkContext.broadcast(np.packbits(bits))
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.unpackbits(reach.value).astype(bool)
+        held: list[pd.DataFrame] = []
+        size = 0
+        for text in batches(frames):
+            got = [(contexts(c, at, size).ravel(), np.tile(ch, base)) for ch, at, c, size in units(text, signs.value)]
+            ctx, ch = np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
+            keep = np.flatnonzero((ctx != NO_CONTEXT) & bits[counter(ctx)])
+            ctx, ch = ctx[keep], ch[keep]
+            # one number for context and character; equal ones come together
+            both = (ctx.view(np.uint64) ^ ch.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)
+            order = np.argsort(both)
+            both = both[order]
+            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else order
+            held.append(pd.DataFrame({"both": both[first], "ctx": ctx[order[first]], "ch": ch[order[first]], "n": np.diff(np.append(first, len(both)))}))
+            size += len(first)
+            if size >= HELD:
+                yield merged(held)
+                held, size = [], 0
         if held:
-            yield drain()
+            yield merged(held)
 
-    counts = checkpoint(lines.select("text", "path").mapInPandas(count, "ctx bigint, ch bigint, n bigint").groupBy("ctx", "ch").agg(F.sum("n").alias("n")))
+    def merged(held: list[pd.DataFrame]) -> pd.DataFrame:
+        x = pd.concat(held)
+        n = x.groupby("both", sort=False)["n"].sum()
+        out = x.drop_duplicates("both")
+        return out.assign(n=n.loc[out["both"]].to_numpy())[["ctx", "ch", "n"]]
+
+    counts = checkpoint(runs.mapInPandas(count, "ctx bigint, ch bigint, n bigint").groupBy("ctx", "ch").agg(F.sum("n").alias("n")))
     calls = counts.groupBy("ctx").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("ch", "n").alias("right")).where((F.col("all") >= LEAST) & (F.col("most") >= 0.5 * F.col("all")))
     sure = F.col("most") >= TOP * F.col("all")
     judged = counts.join(calls, "ctx")
     doubted = checkpoint(judged.where(sure & (F.col("ch") != F.col("right")) & (F.col("n") <= RARE * F.col("all"))).select("ctx", "ch", "right", "n", "all"))
     # of each character: its uses, those in contexts that call for it, and the weight of all contexts that surely do
-    uses = counts.where(F.pmod("ctx", F.lit(8)) == 0).groupBy("ch").agg(F.sum("n").alias("uses"))
+
+    def characters(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for text in batches(frames):
+            ch, n = np.unique(np.concatenate([ch for ch, *_ in units(text, signs.value)]), return_counts=True)
+            yield pd.DataFrame({"ch": ch, "n": n})
+
+    uses = runs.mapInPandas(characters, "ch bigint, n bigint").groupBy("ch").agg(F.sum("n").alias("uses"))
     called = judged.where("ch = right").groupBy("ch").agg((F.sum("n") / base).alias("own"), F.sum(F.when(sure, F.col("all"))).alias("mass"))
     pairs = doubted.groupBy("ch", "right").agg(F.sum("all").alias("cover"))
     pairs = pairs.join(uses, "ch").join(called.select("ch", "own"), "ch", "left").join(called.select(F.col("ch").alias("right"), "mass"), "right")
@@ -351,8 +480,7 @@ def misread(lines: DataFrame) -> DataFrame:
     known = [r for r in pairs.limit(MAX_PAIRS + 1).collect()]
     if len(known) > MAX_PAIRS:
         raise ValueError(f"more than {MAX_PAIRS} pairs of confused characters")
-    sign = {ord(a) for a, _ in SPLIT.values()}
-    known = [r for r in known if (chr(r["ch"]).isalnum() or r["ch"] in sign) and chr(r["right"]).isalnum()]
+    known = [r for r in known if (chr(r["ch"]).isalnum() or r["ch"] >= SIGN) and chr(r["right"]).isalnum()]
     wrong = spark.sparkContext.broadcast(np.unique(np.array([r["ch"] for r in known], np.int64)))
     small = F.broadcast(spark.createDataFrame([tuple(r) for r in known], "ch bigint, right bigint, common boolean"))
     rules = doubted.select("ctx", "ch", "right").join(small, ["ch", "right"]).select("ctx", "ch", "right")
@@ -362,26 +490,25 @@ def misread(lines: DataFrame) -> DataFrame:
 
     def places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
-            for low in range(0, len(x), 2000):
-                of, no, at_, ctx, ch = [], [], [], [], []
-                for k, (t, p) in enumerate(zip(x["text"][low : low + 2000], x["path"][low : low + 2000]), low):
-                    text, line_no, place = running_text(t.split("\n"), list(p))
-                    if not text:
-                        continue
-                    c, h = contexts(text)
-                    at = np.flatnonzero(np.isin(c, wrong.value))
-                    if len(at):
-                        of.append(np.full(base * len(at), k))
-                        no.append(np.tile(np.array(line_no)[at], base))
-                        at_.append(np.tile(np.array(place)[at], base))
-                        ctx.append(h[:, at].ravel())
-                        ch.append(np.tile(c[at], base))
-                if of:
-                    own = np.concatenate(of)
-                    yield pd.DataFrame({"row_id": x["row_id"].to_numpy()[own], "field_name": x["field_name"].to_numpy()[own], "line_no": np.concatenate(no), "place": np.concatenate(at_), "ctx": np.concatenate(ctx), "ch": np.concatenate(ch)})
+            got = [running_text(t.split("\n"), list(p)) for t, p in zip(x["text"], x["path"])]
+            text = together([g[0] for g in got])
+            # where each text begins among all
+            start = np.cumsum([len(BETWEEN), *(len(g[0]) + len(BETWEEN) for g in got)])[:-1]
+            for ch, at, c, size in units(text, signs.value):
+                some = np.isin(ch, wrong.value)
+                ch, at = ch[some], at[some]
+                if not len(at):
+                    continue
+                of = np.searchsorted(start, at, side="right") - 1
+                within = [(got[k], j) for k, j in zip(of.tolist(), (at - start[of]).tolist())]
+                line, place = [g[1][j] for g, j in within], [g[2][j] for g, j in within]
+                out = pd.DataFrame({"row_id": x["row_id"].to_numpy()[of], "field_name": x["field_name"].to_numpy()[of], "line_no": line, "place": place, "ch": ch})
+                one = np.array([size == 1 or g[1][j + 1] == g[1][j] and g[2][j + 1] == g[2][j] + 1 for g, j in within])  # a sign lies in one line
+                yield pd.concat([out[one].assign(ctx=k[one]) for k in contexts(c, at, size)])[["row_id", "field_name", "line_no", "place", "ctx", "ch"]]
 
     found = lines.mapInPandas(places, "row_id bigint, field_name string, line_no int, place int, ctx bigint, ch bigint")
-    return found.join(rules, ["ctx", "ch"]).groupBy("row_id", "field_name", "line_no", "place").agg(F.min("right").alias("right"), F.sum(F.col("right").isNull().cast("int")).alias("in_place")).where("in_place = 0").drop("in_place")
+    judged = found.join(rules, ["ctx", "ch"]).groupBy("row_id", "field_name", "line_no", "place").agg(F.min("right").alias("right"), F.max((F.col("ch") >= SIGN).cast("int")).alias("more"), F.sum(F.col("right").isNull().cast("int")).alias("in_place"))
+    return judged.where("in_place = 0").select("row_id", "field_name", "line_no", "place", "right", (F.col("more") + 1).alias("size"))
 
 
 def noise(lines: DataFrame, wrong: DataFrame) -> DataFrame:
@@ -403,7 +530,7 @@ def noise(lines: DataFrame, wrong: DataFrame) -> DataFrame:
 def paragraphs(lines: DataFrame, wrong: DataFrame) -> DataFrame:
     """row_id, field_name, para_no and paragraph: the body put together, misread characters replaced (digits only where the digit is known by shape)."""
     shape = {"O": "0", "o": "0", "I": "1", "l": "1", "S": "5", "B": "8", "Z": "2"}
-    fixes = wrong.groupBy("row_id", "field_name").agg(F.collect_list(F.struct("line_no", "place", "right")).alias("fixes"))
+    fixes = wrong.groupBy("row_id", "field_name").agg(F.collect_list(F.struct("line_no", "place", "right", "size")).alias("fixes"))
 
     def put(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
@@ -413,7 +540,7 @@ def paragraphs(lines: DataFrame, wrong: DataFrame) -> DataFrame:
                 for k in fix if fix is not None else ():
                     c = own[k["line_no"] - 1][k["place"]]
                     own[k["line_no"] - 1][k["place"]] = shape.get(c, c) if k["right"] == 48 else chr(k["right"])
-                    if c + "".join(own[k["line_no"] - 1][k["place"] + 1 : k["place"] + 2]) in SPLIT:
+                    if k["size"] == 2:
                         own[k["line_no"] - 1][k["place"] + 1] = ""
                 own = ["".join(y) for y in own]
                 parts, blank, joined = [], True, False

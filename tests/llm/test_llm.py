@@ -381,5 +381,36 @@ def test_very_long_scan():
     assert set(scans.decode(scans.symbols(lines, set()), tuple(x.tolist() for x in scans.first_guess()))) == {scans.BODY}
 
 
+def test_states_of_many_sequences_equal_plain_search(monkeypatch):
+    import itertools
+
+    start, step, emit = scans.first_guess()
+    r = random.Random(8)
+    seqs = [[r.randrange(scans.SYMBOLS) for _ in range(r.choice((0, 1, 2, 3, 5)))] for _ in range(60)]
+    score = lambda seq, path: start[path[0]] + emit[path[0]][seq[0]] + sum(step[a][b] + emit[b][o] for a, b, o in zip(path, path[1:], seq[1:]))
+    for cells in (scans.DECODED, 7):
+        monkeypatch.setattr(scans, "DECODED", cells)
+        for seq, got in zip(seqs, scans.decode_all(seqs, (start, step, emit))):
+            best = max((score(seq, p) for p in itertools.product(range(4), repeat=len(seq))), default=0) if seq else 0
+            assert len(got) == len(seq) and (not seq or abs(score(seq, got.tolist()) - best) < 1e-9)
+
+
+def test_characters_that_came_apart(spark):
+    """A character read as two is found by its contexts; two that belong together anyway are left alone."""
+    r = random.Random(9)
+    rows = []
+    for k in range(400):
+        t = "".join(r.choice(["委托银行监管账户余额，", "商场附近葡萄园林开放，", "经现场查勘室内装修，"]) for _ in range(6))
+        rows.append((k, "f", t.replace("银行监", "银彳亍监") if k % 12 == 0 else t))
+    df = spark.createDataFrame(rows, scans.SCHEMA)
+    lines = scans.labelled(df).cache()
+    assert {("彳", "亍"), ("葡", "萄")} <= {(chr(k >> 21), chr(k & 0x1FFFFF)) for k in scans.signs_of(lines).keys.tolist()}
+    wrong = scans.misread(lines)
+    got = {(x.row_id, x.place, chr(x.right), x.size) for x in wrong.collect()}
+    assert got == {(k, i, "行", 2) for k, _, t in rows for i in range(len(t)) if t.startswith("彳亍", i)} and got
+    put = {x.row_id: x.paragraph for x in scans.paragraphs(lines, wrong).collect()}
+    assert "银行监管" in "".join(put[k] for k in put if k % 12 == 0) and "彳" not in "".join(put.values()) and "亍" not in "".join(put.values())
+
+
 def test_parsed_schema_matches():
     assert list(features("x", PLACES)) == [c.split()[0] for c in PARSED.split(", ")]
