@@ -295,6 +295,8 @@ CONTEXTS = ((-2, -1, 1), (-1, 1, 2), (-3, -2, -1), (1, 2, 3), (-6, -5, -4, -3, -
 
 #: Where all neighbours lie beyond the text's ends.
 NO_CONTEXT = -1
+#: A context's hash, its kind (3 bits) and a code point (21) make one number.
+CONTEXT_BITS = 40
 
 
 #: Class of what lies between texts, as far as a context reaches.
@@ -317,7 +319,7 @@ def contexts(c: np.ndarray, at: np.ndarray, size: int = 1) -> np.ndarray:
             some |= near != 0
             h = (h ^ near) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
-        out.append(np.where(some, ((h >> np.uint64(3)) << np.uint64(3) | np.uint64(kind)).view(np.int64), NO_CONTEXT))
+        out.append(np.where(some, ((h >> np.uint64(64 - CONTEXT_BITS)) << np.uint64(3) | np.uint64(kind)).view(np.int64), NO_CONTEXT))
     return np.array(out).reshape(len(CONTEXTS), -1)
 
 
@@ -368,17 +370,30 @@ def labelled(df: DataFrame) -> DataFrame:
     return observed.select("row_id", "field_name", "text", states("seq").alias("path"))
 
 
+def tallied(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each value once, and how often it occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return values[first], np.diff(np.append(first, len(values)))
+
+
 def signs_of(lines: DataFrame) -> Signs:
     """Pairs of characters that hardly occur but together. Each character has one such partner on each side at most, so they number no more than half the code points."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
-            c = _codes("\n".join(x["text"])).astype(np.int64)
-            han = c >= 0x2E80
-            one, n = np.unique(c[han], return_counts=True)
-            yield pd.DataFrame({"a": one, "b": -1, "n": n})
-            two, n = np.unique((c[:-1] << 21 | c[1:])[han[:-1] & han[1:]], return_counts=True)
-            yield pd.DataFrame({"a": two >> 21, "b": two & 0x1FFFFF, "n": n})
+            c = _codes("\n".join(x["text"]))
+            n = np.bincount(c)
+            own = np.flatnonzero(n)
+            rank = np.zeros(len(n), np.uint32)
+            rank[own] = np.arange(len(own))
+            own_han = own[own >= 0x2E80]
+            yield pd.DataFrame({"a": own_han, "b": -1, "n": n[own_han]})
+            part = np.flatnonzero((c[:-1] >= 0x2E80) & (c[1:] >= 0x2E80))
+            pair = rank[c[part]].astype(np.uint64) * np.uint64(len(own)) + rank[c[part + 1]]
+            pair, n = tallied(pair)
+            a, b = np.divmod(pair, np.uint64(max(len(own), 1)))
+            yield pd.DataFrame({"a": own[a.astype(np.int64)], "b": own[b.astype(np.int64)], "n": n})
 
     n = lines.select("text").mapInPandas(count, "a bigint, b bigint, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     n = checkpoint(n)
@@ -414,50 +429,58 @@ def misread(lines: DataFrame) -> DataFrame:
         if waiting:
             yield together(waiting)
 
-    counter = lambda h: ((h.view(np.uint64) >> np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - power)).astype(np.int64)
+    counter = lambda ctx: ((ctx.view(np.uint64) >> np.uint64(3)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - power)).astype(np.int64)
+    block = min(1 << power, 1 << 16)
 
     def first_count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = np.zeros(1 << power, np.int64)
+        table = np.zeros(1 << power, np.int32)
         for text in batches(frames):
-            for _, at, c, size in units(text, signs.value):
-                for h in contexts(c, at, size):
-                    table += np.bincount(counter(h[h != NO_CONTEXT]), minlength=1 << power)
-        at = np.flatnonzero(table)
-        yield pd.DataFrame({"k": at, "n": table[at]})
-
-    # contexts used less often can neither call for a character nor be doubted
-    often = runs.mapInPandas(first_count, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST).select("k")
+            got = np.concatenate([contexts(c, at, size).ravel() for _, at, c, size in units(text, signs.value)])
+            k, n = tallied(counter(got[got != NO_CONTEXT]))
+            table[k] += n.astype(np.int32)
+        cells = np.minimum(table, LEAST).astype(np.uint8).reshape(-1, block)
+        some = np.flatnonzero(cells.any(axis=1))
+        yield pd.DataFrame({"k": some, "cells": [cells[k].tobytes() for k in some]})
+
+    def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for x in frames:
+            for k, cells in zip(x["k"], x["cells"]):
+                total[k] = np.minimum(total.get(k, 0) + np.frombuffer(cells, np.uint8).astype(np.uint16), LEAST)
+        yield pd.DataFrame({"k": list(total), "cells": [np.packbits(v >= LEAST).tobytes() for v in total.values()]})
+
+    # contexts used less often can neither call for a character nor be doubted; tasks' counters are added up by blocks
+    often = runs.mapInPandas(first_count, "k bigint, cells binary").repartition("k").mapInPandas(add, "k bigint, cells binary")
     bits = np.zeros(1 << power, bool)
-    bits[often.toPandas()["k"].to_numpy(np.int64)] = True  # at most as many rows as there are counters
+    for r in often.collect():  # a bit for each counter
+        bits[r["k"] * block : (r["k"] + 1) * block] = np.unpackbits(np.frombuffer(r["cells"], np.uint8)).astype(bool)
     reach = spark.sparkContext.broadcast(np.packbits(bits))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(reach.value).astype(bool)
-        held: list[pd.DataFrame] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
+
+        def drain() -> pd.DataFrame:
+            key = np.concatenate([k for k, _ in held])
+            order = np.argsort(key, kind="stable")  # runs that are in order already
+            key, n = key[order], np.concatenate([n for _, n in held])[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            total = np.add.reduceat(n, first)
+            return pd.DataFrame({"ctx": (key[first] >> np.uint64(21)).astype(np.int64), "ch": (key[first] & np.uint64(0x1FFFFF)).astype(np.int64), "n": total})
+
         for text in batches(frames):
-            got = [(contexts(c, at, size).ravel(), np.tile(ch, base)) for ch, at, c, size in units(text, signs.value)]
-            ctx, ch = np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
-            keep = np.flatnonzero((ctx != NO_CONTEXT) & bits[counter(ctx)])
-            ctx, ch = ctx[keep], ch[keep]
-            # one number for context and character; equal ones come together
-            both = (ctx.view(np.uint64) ^ ch.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)) * np.uint64(0x94D049BB133111EB)
-            order = np.argsort(both)
-            both = both[order]
-            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])) if len(both) else order
-            held.append(pd.DataFrame({"both": both[first], "ctx": ctx[order[first]], "ch": ch[order[first]], "n": np.diff(np.append(first, len(both)))}))
-            size += len(first)
+            for ch, at, c, length in units(text, signs.value):
+                for ctx in contexts(c, at, length):
+                    keep = np.flatnonzero((ctx != NO_CONTEXT) & bits[counter(ctx)])
+                    if len(keep):
+                        held.append(tallied(ctx[keep].view(np.uint64) << np.uint64(21) | ch[keep].view(np.uint64)))
+                        size += len(held[-1][0])
             if size >= HELD:
-                yield merged(held)
+                yield drain()
                 held, size = [], 0
         if held:
-            yield merged(held)
-
-    def merged(held: list[pd.DataFrame]) -> pd.DataFrame:
-        x = pd.concat(held)
-        n = x.groupby("both", sort=False)["n"].sum()
-        out = x.drop_duplicates("both")
-        return out.assign(n=n.loc[out["both"]].to_numpy())[["ctx", "ch", "n"]]
+            yield drain()
 
     counts = checkpoint(runs.mapInPandas(count, "ctx bigint, ch bigint, n bigint").groupBy("ctx", "ch").agg(F.sum("n").alias("n")))
     calls = counts.groupBy("ctx").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("ch", "n").alias("right")).where((F.col("all") >= LEAST) & (F.col("most") >= 0.5 * F.col("all")))
