@@ -60,8 +60,8 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
 class Index:
     """q-grams of items with their places."""
 
-    def __init__(self, ids: list[int], texts: list[str], q: int = Q, budget: float = BUDGET, share: float = 0.5):
-        self.table = {ord(c): e for c, e in decompositions().items()}
+    def __init__(self, ids: list[int], texts: list[str], table: dict[str, str], q: int = Q, budget: float = BUDGET, share: float = 0.5):
+        self.table = {ord(c): e for c, e in table.items()}
         pairs = [(i, t) for i, t in zip(ids, (plain(t, self.table) for t in texts)) if len(t) >= q]
         self.ids, self.texts = np.array([i for i, _ in pairs], np.int64), [t for _, t in pairs]
         self.size = np.array([len(t) for t in self.texts], np.int64)
@@ -191,7 +191,7 @@ def leaks(docs: DataFrame, items: DataFrame, share: float = 0.5, doc_col: str =
 
     def scan(block: int) -> DataFrame:
         rows = queries.where(F.col("_block") == block).orderBy("item_id", "text").collect()
-        shared = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows]))
+        shared = spark.sparkContext.broadcast(([r["item_id"] for r in rows], [r["text"] for r in rows], decompositions(spark)))
 
         def find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             index = Index(*shared.value, share=share)

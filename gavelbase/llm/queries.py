@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gavelbase.functions.text import half_width, id_number, is_blank, strip, time_seconds
 from gavelbase.llm.consensus import representatives
 from gavelbase.llm.entities import match
-from gavelbase.llm.glyphs import look_alikes, same_form
+from gavelbase.llm.glyphs import form_classes, look_alikes, same_form
 from gavelbase.llm.leakage import leaks
 from gavelbase.llm.linkage import learn_places, linked, parsed
 from gavelbase.llm.mixing import mix
@@ -124,8 +124,13 @@ def p10_forms(spark: SparkSession, d: str) -> DataFrame:
     return same_form(table(spark, d, "documents")).select(F.col("_id").alias("doc_id"), "canonical")
 
 
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each document that has a look-alike of another stored text, with its class and the class's size."""
+    return form_classes(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
-    "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_matches": p3_matches, "p6_found": p6_found, "p7_found": p7_found, "p7_paragraphs": p7_paragraphs, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_forms": p10_forms,
+    "p1_found": p1_found, "p1_records": p1_records, "p3_found": p3_found, "p3_matches": p3_matches, "p6_found": p6_found, "p7_found": p7_found, "p7_paragraphs": p7_paragraphs, "p8_found": p8_found, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_forms": p10_forms, "p10_classes": p10_classes,
 }
 
 _WORDS = "('', '-', '--', '/', 'nan', 'none', 'null', 'n/a', '未知', '无', '暂无', '不适用', '待核实', '不详')"

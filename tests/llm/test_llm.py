@@ -85,7 +85,7 @@ def test_forms_equal_the_plain_version(spark):
     df = spark.createDataFrame([(k, t, "clash", 1) for k, t in enumerate(texts)], "doc_id bigint, text string, canonical string, at int")
     got = {x._id: x.canonical for x in glyphs.same_form(df).collect()}
     for k, t in enumerate(texts):
-        a, b = got[k], glyphs.canonical_text(t)
+        a, b = got[k], glyphs.canonical_text(t, glyphs.decompositions(spark))
         assert (a is None) == (b is None) and (a is None or unicodedata.normalize("NFD", a) == unicodedata.normalize("NFD", b)), (t, a, b)
     assert glyphs.same_form(df.limit(0)).count() == 0
 
@@ -96,6 +96,14 @@ def test_look_alikes(spark):
     assert got == [(1, 2), (1, 7), (2, 3), (2, 7), (3, 7)]
 
 
+def test_marks_and_letters_of_all_scripts(spark):
+    pairs = [("\u0915\u093c\u0902", "\u0958\u0902"), ("\u0e01\u0e38\u0e48", "\u0e01\u0e48\u0e38"), ("\U0001d400bc", "Abc"), ("\u0251\u0261e", "age"), ("\uac01", "\u1100\u1161\u11a8"), ("\u0627\u0653", "\u0622"), ("\u05e9\u05bc\u05c1", "\ufb2c")]
+    rows = [(2 * k + i, t) for k, p in enumerate(pairs) for i, t in enumerate(p)] + [(90, "10"), (91, "lO"), (92, "x²"), (93, "x2")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(tuple(r) for r in glyphs.look_alikes(df).collect()) == [(2 * k, 2 * k + 1) for k in range(len(pairs))]
+    assert {(r.id, r.class_id, r.texts, r.rows) for r in glyphs.form_classes(df.unionByName(df.where("doc_id = 1").selectExpr("cast(80 as bigint) as doc_id", "text"))).collect()} >= {(0, 0, 2, 3), (80, 0, 2, 3), (3, 2, 2, 2)}
+
+
 def test_copies_of_one_text_do_not_meet(spark):
     rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("价格１００元").alias("text")).unionByName(spark.createDataFrame([(99_999, "价格100元")], "doc_id bigint, text string"))
     assert glyphs.look_alikes(rows).count() == 60_000
