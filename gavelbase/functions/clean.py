@@ -95,9 +95,10 @@ def keyword_hits(c: Column, words: list[str], most: int = 30) -> Column:
 
 
 def sentences(c: Column, most: int = 260) -> Column:
-    """Sentences, each once, in order, cut at ``most`` characters."""
-    parts = F.split(F.regexp_replace(c, "\n+", "。"), "[。！？；;]+")
-    return F.array_distinct(F.filter(F.transform(parts, lambda x: F.substring(strip(x), 1, most)), lambda x: x != ""))
+    """Sentences with the sign that ends them, each once, in order, cut at ``most`` characters. A point ends one before white space; line feeds are ends."""
+    parts = F.regexp_extract_all(F.regexp_replace(c, "\n+", "。"), F.lit(r"(?s)((?:(?!\.\s)[^。！？；;])*(?:[。！？；;]|\.(?=\s)|$))"), 1)
+    said = F.filter(F.transform(parts, lambda x: F.substring(strip(x), 1, most)), lambda x: ~x.rlike("^[。！？；;.]*$"))
+    return F.array_distinct(said)
 
 
 def keyword_sentences(c: Column, words: list[str], most: int = 3) -> Column:
@@ -105,16 +106,20 @@ def keyword_sentences(c: Column, words: list[str], most: int = 3) -> Column:
     return F.slice(F.filter(sentences(c), lambda s: F.array_contains(F.transform(F.array(*map(F.lit, words)), lambda w: s.contains(w)), True)), 1, most)
 
 
+#: Endings of divisions' names, in the order in which they are taken off.
+DIVISION_ENDINGS = ("特别行政区", "自治区", "自治州", "自治县", "地区", "省", "市", "区", "县", "镇", "街道", "乡")
+
+
 def division(c: Column) -> Column:
     """A division's name without its endings."""
-    for ending in ("特别行政区", "自治区", "自治州", "自治县", "地区", "省", "市", "区", "县", "镇", "街道", "乡"):
+    for ending in DIVISION_ENDINGS:
         c = F.regexp_replace(c, f"^(.{{2,}}){ending}$", "$1")
     return c
 
 
 def code_prefix(c: Column) -> Column:
-    """What a division's code shares with all within it."""
-    return F.when(c.endswith("0000"), F.substring(c, 1, 2)).when(c.endswith("00"), F.substring(c, 1, 4)).otherwise(F.substring(c, 1, 6))
+    """What a division's code shares with all within it; a code of nine digits and more is a town's, of which nine count."""
+    return F.when(F.length(c) >= 9, F.substring(c, 1, 9)).when(c.endswith("0000"), F.substring(c, 1, 2)).when(c.endswith("00"), F.substring(c, 1, 4)).otherwise(F.substring(c, 1, 6))
 
 
 def jsonp(c: Column) -> Column:
@@ -183,19 +188,26 @@ def coordinate_key(lat: Column, lon: Column) -> Column:
 
 
 def distance_text(m: Column) -> Column:
-    """Whole metres below a kilometre, else kilometres with two decimals, halves rounded up."""
-    return F.when(m < 1000, F.concat(F.bround(m, 0).cast("bigint").cast("string"), F.lit("m"))).otherwise(F.concat(F.format_string("%.2f", m / 1000), F.lit("km")))
+    """Whole metres below a kilometre, else kilometres with two decimals, halves rounded up; null stays null."""
+    return F.when(m.isNull(), F.lit(None).cast("string")).when(m < 1000, F.concat(F.bround(m, 0).cast("bigint").cast("string"), F.lit("m"))).otherwise(F.concat(F.format_string("%.2f", m / 1000), F.lit("km")))
 
 
-#: Words that say nothing about an asset, removed from keys in this order.
-KEY_NOISE = ("司法拍卖", "网络司法拍卖", "不动产", "房地产", "房产", "房屋", "标的物", "一套", "一处", "拍卖", "变卖", "处置", "位于", "坐落", "的", "所有")
+#: Words removed from keys, in this order, and the signs removed after them.
+KEY_NOISE = ("拍卖公告", "第一次拍卖", "第二次拍卖", "一拍", "二拍", "变卖", "司法拍卖", "网络司法拍卖", "房产一套", "房屋一套", "房地产", "房产", "房屋", "住宅", "位于", "标的物")
+_KEY_SIGNS = re.compile(r"[\\/:*?\"<>|,，。；;、\s\-_—（）()【】\[\]{}]+")
+#: Words that are no text in keys.
+KEY_MISSING = ("", "none", "null", "nan")
 
 
 def text_key_of(s: str | None) -> str:
-    s = unicodedata.normalize("NFKC", html.unescape(s or "")).lower()
+    """A text's key; the words go in their order, so that a longer one may be left in part where a shorter one is taken first."""
+    s = (s or "").strip()
+    if s.lower() in KEY_MISSING:
+        return ""
+    s = unicodedata.normalize("NFKC", html.unescape(s)).lower()
     for word in KEY_NOISE:
         s = s.replace(word, "")
-    return re.sub(r"[\W_]+", "", s)
+    return _KEY_SIGNS.sub("", s)
 
 
 @arrow_udf("string")

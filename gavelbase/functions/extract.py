@@ -124,19 +124,47 @@ def form_rows(rows: list[list[str]] | None) -> dict[str, str]:
     return out
 
 
+_N, _HN = r"[0-9]+(?:\.[0-9]+)?", "[0-9一二三四五六七八九十百]+"
+#: Patterns of a field in running text, one group each, the surest first. None needs to look around, so they run in any engine.
+TIERS = {
+    "建筑面积": (
+        rf"(?:^|[^下摊内地用])(?:建筑 ?总 ?面积|建筑 ?面积 ?合计|房屋 ?建筑 ?面积|证载 ?建筑 ?面积|建筑 ?面积)(?:合计|共计|约|为|是|计)? ?[:：]? ?({_N}) ?(?:平方米|平米|㎡|m²|m2)",
+        rf"(?:^|[^下摊内地用筑])(?:总)?面积(?:共计|约|为|是|计)? ?[:：]? ?({_N}) ?(?:平方米|平米|㎡)",
+    ),
+    "所在层": (
+        rf"(?:所在 ?楼 ?层|所在 ?层 ?数|所在 ?层|房屋 ?楼 ?层|楼层|层次)(?: ?[/／] ?(?:总楼层|总层数))?(?:为|是)? ?[:：]? ?第? ?(-?{_HN})(?: ?[-至到] ?{_HN})? ?(?:层|楼|F|/)",
+        rf"(?:标的|房屋)(?:位于|坐落于|处于|为|在) ?第? ?({_HN}) ?(?:层|楼|F)",
+        rf"(?:位于|对象位于|住)[^，,。；;]{{0,20}}?第 ?({_HN}) ?(?:层|楼|F)",
+        rf"(?:总|共) ?{_HN} ?(?:层|楼|F)[ ，,、；;]*第? ?({_HN}) ?(?:层|楼|F)",
+        r"(?:所在位置|楼宇位置)[^；;，,。]{0,60}?([0-9]+) ?层",
+    ),
+    "总层数": (
+        rf"(?:总层数|总楼层|建筑物总高|总高|共)(?:为|计)? ?[:：]? ?({_HN}) ?(?:层|楼|F)",
+        rf"总 ?({_HN}) ?(?:层|楼|F)",
+        rf"({_HN}) ?层[^，,。；;建]{{0,14}}?(?:住宅楼|商住楼|楼房|混合结构|钢混|砖混)",
+        rf"(?:所在 ?楼 ?层|所在 ?层|楼层|层次)[^，,。；;/]{{0,12}}/ ?({_HN}) ?(?:层|楼|F)?",
+    ),
+    "竣工时间": (
+        r"(?:竣工|建成) ?(?:时间|日期|时期|年份|年代|年月)(?:为|是)? ?[:：]? ?([0-9]{4}(?: ?年(?: ?[0-9]{1,2} ?月(?: ?[0-9]{1,2} ?日)?)?|-[0-9]{1,2}(?:-[0-9]{1,2})?)?)",
+        r"建筑 ?年 ?代(?:为|是)? ?[:：]? ?([0-9]{4})",
+        r"(?:建成于|建于) ?([0-9]{4}(?: ?年(?: ?[0-9]{1,2} ?月)?)?)",
+    ),
+}
+
+
+def inline_fields(c: Column) -> Column:
+    """Area, floor, number of floors and year of building named in running text, as a map of what is found: of each field the first tier that matches. Native."""
+    s = clean.one_line(c)
+    first = lambda tiers: F.coalesce(*(F.when(s.rlike(p), F.regexp_extract(s, p, 1)) for p in tiers), F.lit(""))
+    found = F.array(*(F.struct(F.lit(f).alias("k"), first(tiers).alias("v")) for f, tiers in TIERS.items()))
+    return F.map_from_entries(F.filter(found, lambda x: x["v"] != ""))
+
+
 def inline(text: str | None) -> dict[str, str]:
-    """Area, floor, number of floors and year of building named in running text."""
-    s = re.sub(r"\s+", "", narrow(text or ""))
-    out = {}
-    for field, pattern in (
-        ("建筑面积", r"建筑面积(?:合计|共计|约|为|是|：|:)*(\d+(?:\.\d+)?)(?:平方米|㎡|m²|m2)"),
-        ("所在层", r"(?:所在(?:楼)?层(?:数)?(?:为|是|：|:)*|位于)第?(-?\d+|[一二三四五六七八九十百负]+)层"),
-        ("总层数", r"(?:总层数|总楼层|建筑物总高|共)(?:为|是|：|:)*(\d+|[一二三四五六七八九十百]+)层"),
-        ("竣工时间", r"(?:建成|建于|竣工)(?:年代|年份|时间|于|为|：|:)*(\d{4})年?"),
-    ):
-        if m := re.search(pattern, s):
-            out[field] = m.group(1)
-    return out
+    """The same of one text."""
+    s = re.sub(r"\s+", " ", narrow(text or "")).strip()
+    found = {f: next((m.group(1) for p in tiers if (m := re.search(p, s))), "") for f, tiers in TIERS.items()}
+    return {f: v for f, v in found.items() if v}
 
 
 def description(text: str | None) -> dict[str, str]:
@@ -148,14 +176,60 @@ def description(text: str | None) -> dict[str, str]:
     return out
 
 
-def region(address: str | None) -> dict[str, str]:
-    """Province, city and county of an address by their endings."""
-    s = re.sub(r"\s+", "", address or "")
-    out = dict.fromkeys(("province", "city", "county"), "")
-    for part, pattern in (("province", r"^([一-鿿]{2,7}?(?:省|自治区))"), ("city", r"^([一-鿿]{2,7}?(?:市|自治州|地区|盟))"), ("county", r"^([一-鿿]{1,7}?(?:区|县|旗|市))")):
-        if m := re.match(pattern, s):
-            out[part], s = m.group(1), s[m.end() :]
-    return out
+#: A province whose addresses are read by its cities' names, and these.
+KNOWN_CITIES = {"广东": ("广州市", "深圳市", "珠海市", "汕头市", "佛山市", "韶关市", "湛江市", "肇庆市", "江门市", "茂名市", "惠州市", "梅州市", "汕尾市", "河源市", "阳江市", "清远市", "东莞市", "中山市", "潮州市", "揭阳市", "云浮市")}
+#: Cities without districts, where such a name is none.
+UNDIVIDED = ("东莞市", "中山市")
+#: Provinces by their full form, of which the first are cities of their own.
+PROVINCE = r"^((?:北京|天津|上海|重庆)市|(?:内蒙古|广西|宁夏|新疆|西藏)自治区|(?:香港|澳门)特别行政区|[一-龥]{2,8}省)"
+OWN_CITIES = ("北京市", "天津市", "上海市", "重庆市")
+_PARTED = "省市区县镇乡街道盟旗 "
+
+
+def _named_to(s: Column, ending: str) -> Column:
+    """What stands between the last sign that parts names and the first place of an ending; null if that is nothing."""
+    before = F.substring_index(s, ending, 1)
+    name = F.regexp_extract(before, f"([^{_PARTED}]*)$", 1)
+    return F.when((F.instr(s, ending) > 1) & (name != ""), F.concat(name, F.lit(ending)))
+
+
+def let(value: Column, f) -> Column:
+    """f of a value that is worked out once however often f names it."""
+    return F.element_at(F.transform(F.array(value), lambda v: f(v)), 1)
+
+
+def region_parts(address: Column) -> Column:
+    """Province, city and county of an address as a struct, all native: by the cities' names in a known province, else by the names' endings."""
+
+    def parts(s: Column, province: Column, city: Column) -> Column:
+        named = F.coalesce(*(_named_to(s, e) for e in ("区", "县", "市", "旗")), F.lit(""))
+        return F.struct(province.alias("province"), city.alias("city"), F.when(named != city, named).otherwise(F.lit("")).alias("county"))
+
+    def by_endings(s: Column) -> Column:
+        full = F.regexp_extract(s, PROVINCE, 1)
+        return let(F.when(full != "", full).otherwise(F.regexp_extract(s, "^([一-龥]{2,3})[一-龥]{2,6}市", 1)), lambda province: by_province(s, province))
+
+    def by_province(s: Column, province: Column) -> Column:
+        first = F.regexp_extract(F.substring(s, F.length(province) + 1, F.length(s)), "^([一-龥]{2,12}市)", 1)
+        city = F.when(first != "", first).when(province.isin(*OWN_CITIES), province).otherwise(F.coalesce(*(_named_to(s, e) for e in ("市", "自治州", "地区", "盟")), F.lit("")))
+        return let(city, lambda c: parts(s, province, c))
+
+    def by_names(s: Column, name: str, known: Column) -> Column:
+        behind = F.substring(s, F.position(known, s) + F.length(known), F.length(s))
+        wide = F.regexp_extract(behind, "^([一-龥]{1,12}(?:区|县|市|旗|镇|街道))", 1)
+        near = F.regexp_extract(behind, "^([一-龥]{1,12}(?:区|县|市|旗))", 1)
+        none = lambda own: (known.isin(*UNDIVIDED) & ((own == known) | own.contains("名下位于"))) | own.startswith(known) | own.contains("位于")
+        county = let(F.when(wide.rlike("(街道|镇)$") & (near != ""), near).otherwise(wide), lambda own: F.when(none(own), F.lit("")).otherwise(own))
+        return F.struct(F.lit(name).alias("province"), known.alias("city"), county.alias("county"))
+
+    def whole(s: Column) -> Column:
+        out = by_endings(s)
+        for name, cities in KNOWN_CITIES.items():
+            known = F.when(s.startswith(name), F.coalesce(*(F.when(s.contains(c), F.lit(c)) for c in cities)))
+            out = let(known, lambda k, rest=out, name=name: F.when(k.isNotNull(), by_names(s, name, k)).otherwise(rest))
+        return out
+
+    return let(F.coalesce(clean.tidy_lines(address), F.lit("")), whole)
 
 
 def label_section(text: str | None, labels: tuple[str, ...] = SURROUNDING, limit: int = 500) -> str:
@@ -192,11 +266,6 @@ def form_fields(c: pd.Series) -> pd.Series:
     return c.map(lambda rows: form_rows([list(r) for r in rows] if rows is not None else None))
 
 
-@arrow_udf("province string, city string, county string")
-def region_fields(c: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([region(x) for x in c], columns=["province", "city", "county"])
-
-
 def surroundings(c: Column) -> Column:
     """Sentences on traffic, services and setting, and the words met: a struct, all native."""
     picked = lambda words, most: F.array_join(clean.keyword_sentences(c, list(words), most), "；")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavelbase.functions.clean import coordinate_key, distance_text
 from gavelbase.operators.slabs import within_distance
 
 #: Category, tags (any of them), radius in metres, words of which a named element needs one.
@@ -41,19 +42,34 @@ def has_tag(key: str, value: str) -> Column:
 
 
 def of_category(places: DataFrame, category: str) -> DataFrame:
-    """The elements of a category; one without a name passes the words' test."""
+    return places.where(in_category(category))
+
+
+def in_category(category: str) -> Column:
+    """Whether an element is of a category; one without a name passes the words' test."""
     tags, _, words = CATEGORIES[category]
     ok = reduce(lambda a, b: a | b, (has_tag(k, v) for k, v in tags))
-    if words:
-        ok = ok & (poi_name().isNull() | reduce(lambda a, b: a | b, (poi_name().contains(w) for w in words)))
-    return places.where(ok)
+    return ok & (poi_name().isNull() | reduce(lambda a, b: a | b, (poi_name().contains(w) for w in words))) if words else ok
 
 
 def nearest(points: DataFrame, elements: DataFrame, categories: list[str] | None = None) -> DataFrame:
-    """point_id, category and the nearest distance in metres within the category's radius. points: row_id, lat, lon."""
-    places = element_places(elements)
-    parts = []
-    for c in categories or list(CATEGORIES):
-        pairs = within_distance(points, of_category(places, c), CATEGORIES[c][1], ("row_id", "lat", "lon"), ("poi_id", "lat", "lon"))
-        parts.append(pairs.groupBy("point_id").agg(F.min("distance_m").alias("distance_m")).withColumn("category", F.lit(c)))
-    return reduce(DataFrame.unionByName, parts)
+    """point_id, category and the nearest distance in metres within the category's radius. points: row_id, lat, lon.
+
+    All categories are one search: an element is a circle of each of its categories' radii.
+    """
+    names = categories or list(CATEGORIES)
+    kinds = F.explode(F.array_compact(F.array(*(F.when(in_category(c), F.struct(F.lit(k).alias("k"), F.lit(float(CATEGORIES[c][1])).alias("m"))) for k, c in enumerate(names)))))
+    places = element_places(elements).select("poi_id", "lat", "lon", kinds.alias("kind")).select(F.xxhash64("poi_id", "kind.k").alias("centre"), "lat", "lon", "kind.k", "kind.m")
+    pairs = within_distance(points, places, "m", ("row_id", "lat", "lon"), ("centre", "lat", "lon"))
+    kind = places.select(F.col("centre").alias("centre_id"), "k").distinct()
+    best = pairs.join(kind, "centre_id").groupBy("point_id", "k").agg(F.min("distance_m").alias("distance_m"))
+    return best.select("point_id", F.element_at(F.array(*map(F.lit, names)), F.col("k") + 1).alias("category"), "distance_m")
+
+
+def surroundings_by_place(points: DataFrame, elements: DataFrame) -> DataFrame:
+    """coord_key and a column of displayed distances for each category, blank where none is in reach: each place is searched once, however many points lie there. points: lat, lon."""
+    spots = points.select("lat", "lon").where("lat is not null and lon is not null").withColumn("coord_key", coordinate_key(F.col("lat"), F.col("lon"))).groupBy("coord_key").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
+    spots = spots.withColumn("row_id", F.xxhash64("coord_key"))
+    got = nearest(spots, elements).groupBy("point_id").pivot("category", list(CATEGORIES)).agg(F.min("distance_m"))
+    shown = [F.coalesce(distance_text(F.col(f"`{c}`")), F.lit("")).alias(c) for c in CATEGORIES]
+    return spots.join(got.withColumnRenamed("point_id", "row_id"), "row_id", "left").select("coord_key", *shown)

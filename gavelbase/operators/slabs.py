@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_M = 6_371_000.0
-#: At most so many edges are broadcast (40 bytes each, and a few times that for their slabs).
-BROADCAST_EDGES = 20_000
+#: At most so many edges are broadcast (40 bytes each, and a few times that for their slabs: some 50 MB).
+BROADCAST_EDGES = 200_000
 #: Regions decomposed together.
 LAYER = 64
 #: Points of a cell in one salted group.
@@ -131,18 +131,35 @@ class Slabs:
 
 
 class Layers:
-    """Decompositions of ``LAYER`` regions each: regions that lie over one another cut each other's slabs, so their number together is bounded."""
+    """Decompositions of ``LAYER`` regions each: regions that lie over one another cut each other's slabs, so their number together is bounded.
+
+    Regions are taken from west to east, so a layer is a strip of longitude and only the points within it are looked for there.
+    """
 
     def __init__(self, ids: np.ndarray, edges: np.ndarray):
         self.ids, number = np.unique(ids, return_inverse=True)
-        n = -(-len(self.ids) // LAYER)
-        self.layers = [Slabs(number[own], edges[own]) for own in (number % n == k for k in range(n))]
+        west = np.full(len(self.ids), np.inf)
+        np.minimum.at(west, number, np.minimum(edges[:, 0], edges[:, 2]))
+        layer = np.empty(len(self.ids), np.int64)
+        layer[np.argsort(west, kind="stable")] = np.arange(len(self.ids)) // LAYER
+        order = np.argsort(layer[number], kind="stable")
+        cuts = np.searchsorted(layer[number][order], np.arange(-(-len(self.ids) // LAYER) + 1))
+        self.layers = [Slabs(number[order[a:b]], edges[order[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
 
     def locate(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the point and region id of each pair."""
-        found = [layer.locate(x, y) for layer in self.layers] or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        region = np.concatenate([r for _, r in found])
-        return np.concatenate([p for p, _ in found]), self.ids[region] if len(self.ids) else region
+        order = np.argsort(x, kind="stable")
+        sorted_x = x[order]
+        points, regions = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for layer in self.layers:
+            if len(layer.xs) < 2:
+                continue
+            own = order[np.searchsorted(sorted_x, layer.xs[0]) : np.searchsorted(sorted_x, layer.xs[-1])]
+            p, r = layer.locate(x[own], y[own])
+            points.append(own[p])
+            regions.append(r)
+        region = np.concatenate(regions)
+        return np.concatenate(points), self.ids[region] if len(self.ids) else region
 
 
 def read_number(c: Column) -> Column:
@@ -191,13 +208,13 @@ def circle_edges(lat: float, lon: float, radius_m: float, sides: int = 16) -> li
     return out
 
 
-def _edges_of_circles(centres: DataFrame, radius_m: float) -> DataFrame:
+def _edges_of_circles(centres: DataFrame) -> DataFrame:
     def draw(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
-            rows = [(r, *e) for r, a, b in zip(x["_rid"], x["_rlat"], x["_rlon"]) for e in circle_edges(a, b, radius_m)]
+            rows = [(r, *e) for r, a, b, m in zip(x["_rid"], x["_rlat"], x["_rlon"], x["_m"]) for e in circle_edges(a, b, m)]
             yield pd.DataFrame(rows, columns=["region_id", "x1", "y1", "x2", "y2"])
 
-    return centres.select("_rid", "_rlat", "_rlon").mapInPandas(draw, _EDGES)
+    return centres.select("_rid", "_rlat", "_rlon", "_m").mapInPandas(draw, _EDGES)
 
 
 def locate(points: DataFrame, edges: DataFrame, cell_degrees: float = 0.25, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
@@ -222,33 +239,37 @@ def locate(points: DataFrame, edges: DataFrame, cell_degrees: float = 0.25, broa
 
     box = edges.groupBy("region_id").agg(F.min(F.least("x1", "x2")).alias("ax"), F.max(F.greatest("x1", "x2")).alias("bx"), F.min(F.least("y1", "y2")).alias("ay"), F.max(F.greatest("y1", "y2")).alias("by"))
     parts = box.select("region_id", cells(F.col("ax"), F.col("bx"), F.col("ay"), F.col("by")).alias("c")).join(edges, "region_id").select(F.col("c.i").alias("i"), F.col("c.j").alias("j"), "region_id", "x1", "y1", "x2", "y2")
-    placed = points.where("x is not null and y is not null").select(F.floor(F.col("x") / cell_degrees).alias("i"), F.floor(F.col("y") / cell_degrees).alias("j"), "pid", "x", "y")
+    # equal rows are located once
+    placed = points.where("x is not null and y is not null").groupBy("pid", "x", "y").agg(F.count("*").alias("n")).select(F.floor(F.col("x") / cell_degrees).alias("i"), F.floor(F.col("y") / cell_degrees).alias("j"), "pid", "x", "y", "n")
     groups = placed.groupBy("i", "j").agg(F.ceil(F.count("*") / GROUP_POINTS).cast("int").alias("salts"))
-    left = placed.join(groups, ["i", "j"]).withColumn("salt", F.pmod(F.xxhash64("pid"), F.col("salts").cast("bigint")).cast("int")).select("i", "j", "salt", "pid", "x", "y")
+    left = placed.join(groups, ["i", "j"]).withColumn("salt", F.pmod(F.xxhash64("pid", "x", "y"), F.col("salts").cast("bigint")).cast("int")).select("i", "j", "salt", "pid", "x", "y", "n")
     spread = parts.join(groups.toDF("gi", "gj", "n"), (F.col("i") == F.col("gi")) & (F.col("j") == F.col("gj")))
     right = spread.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("i", "j", "salt", "region_id", "x1", "y1", "x2", "y2").toDF("ri", "rj", "rsalt", "region_id", "x1", "y1", "x2", "y2")
 
     def meet(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         layers = Layers(right["region_id"].to_numpy(np.int64), right[["x1", "y1", "x2", "y2"]].to_numpy(float).reshape(-1, 4))
         at, region = layers.locate(left["x"].to_numpy(float), left["y"].to_numpy(float))
-        return left[["pid", "x", "y"]].iloc[at].assign(region_id=region)
+        return left[["pid", "x", "y", "n"]].iloc[at].assign(region_id=region)
 
-    return left.groupBy("i", "j", "salt").cogroup(right.groupBy("ri", "rj", "rsalt")).applyInPandas(meet, schema)
+    met = left.groupBy("i", "j", "salt").cogroup(right.groupBy("ri", "rj", "rsalt")).applyInPandas(meet, "pid bigint, x double, y double, n bigint, region_id bigint")
+    return met.select("pid", "x", "y", "region_id", F.explode(F.sequence(F.lit(1), "n"))).drop("col")
 
 
-def within_distance(points: DataFrame, centres: DataFrame, radius_m: float, point: tuple[str, str, str], centre: tuple[str, str, str], cell_degrees: float = 0.25, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
+def within_distance(points: DataFrame, centres: DataFrame, radius_m: float | str, point: tuple[str, str, str], centre: tuple[str, str, str], cell_degrees: float = 0.25, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
     """Pairs of a point and a centre at most radius_m apart, with their distance: point_id, centre_id, distance_m.
 
+    radius_m: metres, or the name of the centres' column that holds them; a centre with a missing radius, or one below zero, reaches nothing.
+
     point, centre: the names of the id, latitude and longitude columns. A centre with several positions gives a pair for each.
     """
     pid, plat, plon = (f"`{c}`" for c in point)
     cid, clat, clon = (f"`{c}`" for c in centre)
     own = points.select(F.col(pid).cast("bigint").alias("pid"), F.col(plon).cast("double").alias("x"), F.col(plat).cast("double").alias("y")).where("abs(y) <= 90 and abs(x) <= 180")
-    spots = centres.select(F.col(cid).cast("bigint").alias("centre_id"), F.col(clat).cast("double").alias("_rlat"), F.col(clon).cast("double").alias("_rlon")).where("abs(_rlat) <= 90 and abs(_rlon) <= 180")
-    spots = spots.dropDuplicates().withColumn("_rid", F.xxhash64("centre_id", "_rlat", "_rlon"))
-    hits = locate(own, _edges_of_circles(spots, radius_m), cell_degrees, broadcast_edges)
-    near = hits.join(spots, F.col("region_id") == F.col("_rid")).select(F.col("pid").alias("point_id"), "centre_id", great_circle(F.col("y"), F.col("x"), F.col("_rlat"), F.col("_rlon")).alias("distance_m"))
-    return near.where(F.col("distance_m") <= radius_m)
+    spots = centres.select(F.col(cid).cast("bigint").alias("centre_id"), F.col(clat).cast("double").alias("_rlat"), F.col(clon).cast("double").alias("_rlon"), (F.col(f"`{radius_m}`").cast("double") if isinstance(radius_m, str) else F.lit(float(radius_m))).alias("_m")).where("abs(_rlat) <= 90 and abs(_rlon) <= 180 and _m >= 0")
+    spots = spots.dropDuplicates().withColumn("_rid", F.xxhash64("centre_id", "_rlat", "_rlon", "_m"))
+    hits = locate(own, _edges_of_circles(spots), cell_degrees, broadcast_edges)
+    near = hits.join(spots, F.col("region_id") == F.col("_rid")).select(F.col("pid").alias("point_id"), "centre_id", great_circle(F.col("y"), F.col("x"), F.col("_rlat"), F.col("_rlon")).alias("distance_m"), "_m")
+    return near.where("distance_m <= _m").drop("_m")
 
 
 def points_in_regions(points: DataFrame, regions: DataFrame, point: tuple[str, str, str], region: tuple[str, str], cell_degrees: float = 0.25, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:

@@ -32,9 +32,16 @@ UNITS = (
     ("floor", "层", 1.0), ("floor", "楼", 1.0), ("floor", "f", 1.0), ("floor", "层楼", 1.0),
 )
 
+#: What stands before a floor's number and what it makes of it, and words that are a floor.
+ROLES = (
+    ("below", "地下"), ("below", "负"), ("below", "b"), ("below", "-"), ("below", "−"), ("below", "–"), ("total", "共"), ("total", "总高"), ("total", "总层数"), ("total", "总"), ("total", "地上"),
+    ("own", "所在层"), ("own", "所在楼层"), ("own", "位于"), ("own", "底层"), ("own", "第"), ("mark", "："), ("mark", ":"),
+)
+FLOOR_WORDS = (("首层", 1.0), ("首楼", 1.0), ("底层", 1.0), ("底楼", 1.0))
+
 _NUMBER = re.compile(r"[+-]?\d{1,3}(?:[,，]\d{3})+(?:\.\d+)?|[+-]?\d+(?:\.\d+)?|[+-]?\.\d+")
 _HAN = re.compile(f"[{HAN}{''.join(LARGE)}]+(?:点[{HAN}]+)?")
-_BARE = re.compile(r"[+-]?\d+(?:\.\d+)?")
+_COUNT = re.compile(rf"\d+(?:\.0+)?(?!\.?\d)|[{HAN}]+")
 
 
 @cache
@@ -57,6 +64,24 @@ def units_in(text: str, measure: str) -> dict[int, tuple[int, int]]:
     return best
 
 
+@cache
+def role_automaton() -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    for role, alias in ROLES:
+        a.add_word(alias, (role, len(alias)))
+    a.make_automaton()
+    return a
+
+
+def roles_in(text: str) -> dict[int, tuple[int, str]]:
+    """End to (start, role) of the longest alias that ends at each place."""
+    best: dict[int, tuple[int, str]] = {}
+    for last, (role, size) in role_automaton().iter(text):
+        if last + 1 not in best or best[last + 1][0] > last + 1 - size:
+            best[last + 1] = (last + 1 - size, role)
+    return best
+
+
 def _numbers(s: str) -> list[tuple[int, int, float]]:
     """Start, end and value of each number; a Chinese numeral counts where no digits are next to it."""
     out = [(m.start(), m.end(), float(m.group().replace(",", "").replace("，", ""))) for m in _NUMBER.finditer(s)]
@@ -84,13 +109,21 @@ def clean(cell: str) -> str:
     return narrow(cell).replace(" ", " ").strip().lower()
 
 
+def _forms(number: str) -> set[str]:
+    """A number as it may be written: with and without separators, and without zeros at its end."""
+    plain = re.sub("[,，]", "", number).lstrip("+")
+    short = plain.rstrip("0").rstrip(".") if "." in plain else plain
+    whole, _, part = short.lstrip("-").partition(".")
+    parted = f"{int(whole):,}" if whole.isdigit() else whole
+    return {number, plain, short, parted + ("." + part if part else ""), parted + plain.lstrip("-")[len(whole) :]} - {""}
+
+
 def context_unit(number: str, text: str, measure: str) -> int | None:
     """The unit that a text gives to a number: right after it, or announced just before it. Line breaks are no part of the text."""
     plain = re.sub(r"[\s　]+", "", narrow(text)).lower()
-    forms = {number, number.rstrip("0").rstrip(".") if "." in number else number}
     units = units_in(plain, measure)
-    for m in re.finditer("|".join(re.escape(x) for x in sorted(forms, key=len, reverse=True)), plain):
-        if m.start() and (plain[m.start() - 1].isdigit() or plain[m.start() - 1] == ".") or re.match(r"\d|\.\d", plain[m.end() : m.end() + 2]):
+    for m in re.finditer("|".join(re.escape(x) for x in sorted(_forms(number), key=lambda x: (-len(x), x))), plain):
+        if m.start() and (plain[m.start() - 1].isdigit() or plain[m.start() - 1] == "." or re.search(r"\d[,，]$", plain[max(0, m.start() - 2) : m.start()])) or re.match(r"\d|\.\d|[,，]\d{3}", plain[m.end() : m.end() + 4]):
             continue
         k = _unit_after(plain, m.end(), units)
         if k is not None:
@@ -121,13 +154,13 @@ def area(cell: str, text: str) -> tuple[float, int] | None:
     for n, (a, b, v) in enumerate(numbers):
         k = _unit_after(s, b, units)
         part = any(i < a and not s[i:a].count("建筑面积") for i in inner) and not (start >= 0 and start < a and all(not start < i < a for i in inner))
-        ranked.append((part, k is None, n, v, k))
-    part, _, _, v, k = min(ranked, key=lambda x: x[:3])
+        ranked.append((part, k is None, n, v, k, s[a:b]))
+    part, _, _, v, k, written = min(ranked, key=lambda x: x[:3])
     if k is None:
         rest = _NUMBER.sub("", s)
         if re.sub(r"[约\s.+-]|建筑面积|[：:]", "", rest):
             return None  # a number among words without a unit is no area
-        k = context_unit(_BARE.search(s).group(), text, "area") if text and _BARE.search(s) else None
+        k = context_unit(written, text, "area") if text and written[-1].isdigit() else None
         k = BASE["area"] if k is None else k
     return v, k
 
@@ -144,44 +177,68 @@ def money(cell: str, text: str) -> tuple[float, int] | None:
         rest = (s[: m.start()] + s[m.end() :]).strip()
         if re.sub(r"[¥￥约\s]|rmb|cny|人民币|整", "", rest):
             return None
-        if not rest and text:
+        if text:
             k = context_unit(m.group(), text, "money")
         return v, BASE["money"] if k is None else k
-    m = re.search(f"[{HAN}{''.join(LARGE)}]+(?=[元圆])", s) or re.fullmatch(f"(?:人民币)?([{HAN}{''.join(LARGE)}]+)整?", s)
-    if m and (v := han_number(m.group(m.lastindex or 0))) is not None:
-        tail = s[m.end() :].lstrip("元圆")
-        for x in re.finditer(f"([{HAN}])([角分])", tail):
-            v += (han_number(x.group(1)) or 0) * (0.1 if x.group(2) == "角" else 0.01)
-        return float(v), BASE["money"]
-    return None
-
-
-_BELOW = re.compile(r"^(?:地下|负|b|-|−|–)")
+    units, runs = units_in(s, "money"), list(re.finditer(f"[{HAN}{''.join(LARGE)}]+", s))
+    named = [(m, k) for m in runs if (k := _unit_after(s, m.end(), units)) is not None]
+    if not named or UNITS[named[0][1]][2] != 1.0:
+        m = re.fullmatch(f"(?:人民币)?([{HAN}{''.join(LARGE)}]+)整?", s)
+        v = han_number(m.group(1)) if m else None
+        return None if v is None else (float(v), BASE["money"])
+    v = han_number(named[0][0].group())
+    # tenths and hundredths of a yuan follow
+    return None if v is None else (float(v) + sum((han_number(m.group()) or 0) * UNITS[k][2] for m, k in named[1:] if UNITS[k][2] < 1), named[0][1])
+
+
+def _counts(s: str) -> list[tuple[int, int, float, int | None, set[str], int]]:
+    """Start, end, value and unit of each whole number, the roles before it and where these begin."""
+    units, roles = units_in(s, "floor"), roles_in(s)
+    out = []
+    for m in _COUNT.finditer(s):
+        v = float(m.group()) if m.group()[0].isdigit() else han_number(m.group())
+        if v is None:
+            continue
+        own, at = set(), m.start()
+        while at in roles:
+            at, role = roles[at]
+            own.add(role)
+        end, k = units[m.end()] if m.end() in units else (m.end(), None)
+        out.append((m.start(), end, float(v), k, own, at))
+    return out
 
 
 def floor(cell: str, text: str) -> tuple[float, int] | None:
-    """The unit's floor; below ground negative."""
+    """The unit's floor; below ground negative. The number begins the cell but for its roles, and ends it or is parted from what follows."""
     s = re.sub(r"\s+", "", clean(cell))
-    if s in ("首层", "首楼", "底层", "底楼"):
-        return 1.0, BASE["floor"]
-    s = re.sub(r"^(?:底层|所在楼?层|位于|第)[：:]*", "", s)
-    m = re.match(rf"(地下|负|b|-|−|–)?第?(\d+(?:\.0+)?|[{HAN}]+)(?:层|楼|f)?(?:$|[/(（,，、共]|总)", s)
-    if not m:
+    if s in dict(FLOOR_WORDS):
+        return dict(FLOOR_WORDS)[s], BASE["floor"]
+    counts = _counts(s)
+    if not counts:
         return None
-    v = float(m.group(2)) if m.group(2)[0].isdigit() else han_number(m.group(2))
-    return None if v is None else (-float(v) if m.group(1) else float(v), BASE["floor"])
+    _, end, v, k, roles, start = counts[0]
+    if start or "total" in roles or not re.match(r"$|[/(（,，、共]|总", s[end:]):
+        return None
+    return (-v if "below" in roles else v), BASE["floor"] if k is None else k
 
 
 def floors(cell: str, text: str) -> tuple[float, int] | None:
-    """The number of floors of the building."""
+    """The number of floors of the building: the number said to be the total, else the only one, else the one behind a slash."""
     s = re.sub(r"\s+", "", clean(cell))
-    m = re.search(rf"(?:共|总高|总层数|地上|总)[：:]*(?:地上)?(\d+(?:\.0+)?|[{HAN}]+)", s) or re.fullmatch(rf"(\d+(?:\.0+)?|[{HAN}]+)(?:层|楼|f)?(?:楼|高)?", s) or re.fullmatch(rf"[^/]*/(\d+|[{HAN}]+)(?:层|楼|f)?", s)
-    if not m:
+    counts = _counts(s)
+    if not counts:
         return None
-    v = float(m.group(1)) if m.group(1)[0].isdigit() else han_number(m.group(1))
-    return None if v is None else (float(v), BASE["floor"])
+    _, end, v, k, _, start = next((c for c in counts if "total" in c[4]), counts[-1])
+    if "total" not in next((c[4] for c in counts if "total" in c[4]), ()):
+        alone = len(counts) == 1 and start == counts[0][0] == 0 and re.fullmatch("[楼高]?", s[end:])
+        behind = s[: counts[-1][0]].endswith("/") and s.count("/") == 1 and end == len(s)
+        if not alone and not behind:
+            return None
+    return v, BASE["floor"] if k is None else k
 
 
+#: A cell of one number without a unit; words that say nothing of it may stand before.
+_MAY_NEED_TEXT = r"^(?:约|建筑面积|[¥￥]|人民币|[Rr][Mm][Bb]|[：:]|[\s　\u00a0])*[+-]?[0-9０-９.．,，]+[\s　\u00a0]*整?$"
 READERS = {"area": area, "money": money, "floor": floor, "floors": floors}
 MEASURES = {"area": "area", "money": "money", "floor": "floor", "floors": "floor"}
 
@@ -199,7 +256,7 @@ def convert_units(df: DataFrame, fields: dict[str, str], context: str | None = N
         F.col(f"`{id_col}`").cast("bigint").alias("_id"),
         text.alias("_t"),
         F.explode(F.array(*(F.struct(F.lit(f).alias("f"), F.lit(k).alias("k"), F.col(f"`{f}`").cast("string").alias("v")) for f, k in fields.items()))).alias("_x"),
-    ).where("_x.v is not null").select("_id", F.col("_x.f").alias("_f"), F.col("_x.k").alias("_k"), F.col("_x.v").alias("_v"), F.when(F.col("_x.v").rlike(r"^[\s　]*[+-]?[0-9０-９.．]+[\s　]*$"), F.col("_t")).alias("_t"))
+    ).where("_x.v is not null").select("_id", F.col("_x.f").alias("_f"), F.col("_x.k").alias("_k"), F.col("_x.v").alias("_v"), F.when(F.col("_x.v").rlike(_MAY_NEED_TEXT), F.col("_t")).alias("_t"))
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:

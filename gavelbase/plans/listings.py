@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -342,22 +344,29 @@ def tolerant_json_lines(spark: SparkSession, d: str) -> DataFrame:
     return parse_lines(good.unionByName(bad), ["k"])
 
 
-@query("""select doc_id, case when position('电梯' in text) > 0 then (case when greatest(position('电梯' in text) - 10, 1) > 1 then '…' else '' end)
-    || substr(text, greatest(position('电梯' in text) - 10, 1), least(position('电梯' in text) + 12, length(text) + 1) - greatest(position('电梯' in text) - 10, 1))
-    || (case when least(position('电梯' in text) + 12, length(text) + 1) <= length(text) then '…' else '' end) end as part from documents where contains(text, '电梯')""")
+_AT = "position('电梯' in text)"
+
+
+@query(f"""select doc_id, (case when greatest({_AT} - 90, 1) > 1 then '…' else '' end) || substr(text, greatest({_AT} - 90, 1), least({_AT} + 92, length(text) + 1) - greatest({_AT} - 90, 1))
+    || (case when least({_AT} + 92, length(text) + 1) <= length(text) then '…' else '' end) as part from documents where contains(text, '电梯')""")
 def excerpts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where(F.col("text").contains("电梯")).select("doc_id", clean.excerpt(F.col("text"), "电梯", 10, 10).alias("part"))
+    return table(spark, d, "documents").where(F.col("text").contains("电梯")).select("doc_id", clean.excerpt(F.col("text"), "电梯").alias("part"))
 
 
-_VOCAB = sorted(("公交", "学校", "小学", "公园", "电梯", "朝南"))
+_VOCAB = sorted({*extract.SURROUNDING, *extract.TRAFFIC, *extract.SERVICES, *extract.SETTING})
 
 
-@query("select doc_id, array_to_string(list_filter([" + ", ".join(f"case when contains(text, '{w}') then '{w}' end" for w in _VOCAB) + "], lambda x: x is not null)[1:3], '、') as words from documents where text is not null")
+@query("select doc_id, array_to_string(list_filter([" + ", ".join(f"case when contains(text, '{w}') then '{w}' end" for w in _VOCAB) + "], lambda x: x is not null)[1:30], '、') as words from documents where text is not null")
 def keyword_hits(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("text is not null").select("doc_id", F.array_join(clean.keyword_hits(F.col("text"), _VOCAB, 3), "、").alias("words"))
+    return table(spark, d, "documents").where("text is not null").select("doc_id", F.array_join(clean.keyword_hits(F.col("text"), _VOCAB), "、").alias("words"))
+
 
+_TOKEN = "城市"
+for _e in clean.DIVISION_ENDINGS:
+    _TOKEN = f"regexp_replace({_TOKEN}, '^(.{{2,}}){_e}$', '\\1')"
 
-@query(f"select 城市, regexp_replace(城市, '市$', '') as token, count(*) as n from {JD} where 城市 is not null group by 1, 2")
+
+@query(f"select 城市, {_TOKEN} as token, count(*) as n from {JD} where 城市 is not null group by 1, 2")
 def division_tokens(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, JD).where("`城市` is not null").groupBy("城市").agg(F.count("*").alias("n")).select("城市", clean.division(F.col("城市")).alias("token"), "n")
 
@@ -390,11 +399,6 @@ def stable_sort_slice(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").orderBy(F.col("o_orderdate").desc(), "o_orderkey").offset(10).limit(50).select("o_orderkey", "o_custkey", "o_orderdate")
 
 
-@query(f"select row_id, case when {_blank('标题')} then '' else array_to_string(list_distinct(['a', 'b']), '；') end as src from {JD} where false union all select row_id, '平台甲；平台乙' from {JD}")
-def source_sets(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, JD).select("row_id", clean.add_to_set(clean.add_to_set(F.lit("平台甲"), "平台甲"), "平台乙").alias("src"))
-
-
 _PARTS = "list_filter(string_split_regex(coalesce(附件正文二次解析更新列, ''), '[；;|,，\\s]+'), lambda x: x <> '')"
 
 
@@ -412,31 +416,51 @@ def distance_to_point(spark: SparkSession, d: str) -> DataFrame:
     return parks.select("poi_id", F.floor(great_circle(F.col("lat"), F.col("lon"), F.lit(23.12), F.lit(113.26)) + 0.5).cast("bigint").alias("metres"))
 
 
-@query(f"""select row_id, case when r >= 1000 then printf('%.2f', r / 1000) || 'km' else cast(round(r) as bigint) || 'm' end as shown from (select row_id, cast(row_id % 3000 as double) + 0.3 as r from {POI})""")
+@query(f"""select row_id, case when r >= 1000 then printf('%.2f', r / 1000) || 'km' else cast(round_even(r, 0) as bigint) || 'm' end as shown from (select row_id, cast(row_id % 4000 as double) / 2 as r from {POI})""")
 def distance_texts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, POI).select("row_id", clean.distance_text((F.col("row_id") % 3000).cast("double") + 0.3).alias("shown"))
+    return table(spark, d, POI).select("row_id", clean.distance_text((F.col("row_id") % 4000).cast("double") / 2).alias("shown"))
 
 
 @query()
 def text_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Keys of titles, with compatibility forms folded."""
-    return table(spark, d, MERGE).select("row_id", clean.text_key(F.col("标题")).alias("key"))
+    """Keys of titles and names of all listings, with compatibility forms folded."""
+    titles = [table(spark, d, t).select("row_id", F.col(c).alias("t")) for t, c in ((MERGE, "标题"), (JD, "标题"), (JDD, "标的物名称"), (ALI, "标的物名称"))]
+    return reduce(DataFrame.unionByName, titles).select("row_id", clean.text_key(F.col("t")).alias("key"))
+
+
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, JD).select("row_id", F.col("附件文本").alias("t")).unionByName(table(spark, d, ALI2).select("row_id", F.col("附件正文文本").alias("t"))).where("t is not null")
 
 
 @query()
 def description_fields(spark: SparkSession, d: str) -> DataFrame:
     """Fields that attachment texts name, one per row."""
-    return table(spark, d, JD).where("`附件文本` is not null").select("row_id", F.explode(extract.description_fields(F.col("附件文本"))).alias("field_name", "value"))
+    return _texts(spark, d).select("row_id", F.explode(extract.description_fields(F.col("t"))).alias("field_name", "value"))
 
 
-@query()
+def _named_to(ending: str) -> str:
+    before = f"split_part(s, '{ending}', 1)"
+    name = f"regexp_extract({before}, '([^省市区县镇乡街道盟旗 ]*)$', 1)"
+    return f"case when position('{ending}' in s) > 1 and {name} <> '' then {name} || '{ending}' end"
+
+
+_CITIES = extract.KNOWN_CITIES["广东"]
+_KNOWN = "case " + " ".join(f"when contains(s, '{c}') then '{c}'" for c in _CITIES) + " end"
+
+
+@query(f"""with a as (select row_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(详情地址, '　', ' '), '\r\n?', '\n', 'g'), '[ \t]+', ' ', 'g'), '\n{{2,}}', '\n', 'g')) as s from {JDD} where 详情地址 is not null),
+    b as (select *, regexp_extract(s, '{extract.PROVINCE}', 1) as full_name, regexp_extract(s, '^([一-龥]{{2,3}})[一-龥]{{2,6}}市', 1) as short_name, case when starts_with(s, '广东') then {_KNOWN} end as known from a),
+    c as (select *, case when full_name <> '' then full_name else short_name end as p from b),
+    e as (select *, regexp_extract(substr(s, length(p) + 1), '^([一-龥]{{2,12}}市)', 1) as first_city from c),
+    f as (select *, case when first_city <> '' then first_city when p in ('北京市', '天津市', '上海市', '重庆市') then p else coalesce({", ".join(_named_to(x) for x in ("市", "自治州", "地区", "盟"))}, '') end as city, coalesce({", ".join(_named_to(x) for x in ("区", "县", "市", "旗"))}, '') as county from e)
+    select row_id, case when known is not null then '广东' else p end as province, coalesce(known, city) as city, case when known is not null then null when county <> city then county else '' end as county from f""")
 def region_parts(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, JDD).where("`详情地址` is not null").select("row_id", extract.region_fields(F.col("详情地址")).alias("r")).select("row_id", "r.province", "r.city", "r.county")
+    return table(spark, d, JDD).where("`详情地址` is not null").select("row_id", extract.region_parts(F.col("详情地址")).alias("r")).select("row_id", "r.province", "r.city", "r.county")
 
 
 @query()
 def surrounding_fields(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, JD).where("`附件文本` is not null").select("row_id", extract.surroundings(F.col("附件文本")).alias("s")).select("row_id", "s.traffic", "s.services", "s.setting", "s.words")
+    return _texts(spark, d).select("row_id", extract.surroundings(F.col("t")).alias("s")).select("row_id", "s.traffic", "s.services", "s.setting", "s.words")
 
 
 @query()
@@ -453,9 +477,43 @@ RULES = merge.Rules(link="链接", item="标的物ID", title="标题", end="结
 @query()
 def merged_platforms(spark: SparkSession, d: str) -> DataFrame:
     """First-platform rows folded with the second platform's, in order of row id."""
+    return merge.merge_platforms(_both_platforms(spark, d), "source", "row_id", RULES).withColumn("sources", F.array_join("sources", "；")).withColumn("n_members", F.size("members")).drop("members")
+
+
+def _both_platforms(spark: SparkSession, d: str) -> DataFrame:
     a = table(spark, d, MERGE).select(F.lit("jd").alias("source"), "row_id", "标的物ID", F.lit("").alias("链接"), "标题", "完整地址", "建筑面积", F.col("评估价_元").cast("bigint").cast("string").alias("评估价"), "结束时间", "处置机构")
     b = table(spark, d, ALI).select(F.lit("ali").alias("source"), "row_id", "标的物ID", F.lit("").alias("链接"), F.col("标的物名称").alias("标题"), F.col("标的物名称").alias("完整地址"), "建筑面积", F.col("评估价_详情_元").alias("评估价"), F.lit("").alias("结束时间"), F.col("法院/处置机构").alias("处置机构"))
-    return merge.merge_platforms(a.unionByName(b), "source", "row_id", RULES).withColumn("sources", F.array_join("sources", "；")).withColumn("n_members", F.size("members")).drop("members")
+    return a.unionByName(b)
+
+
+@query()
+def merged_by_full_rules(spark: SparkSession, d: str) -> DataFrame:
+    """The same rows folded by the five full keys on five texts."""
+    a = table(spark, d, MERGE).select(F.lit("jd").alias("source"), "row_id", "标的物ID", F.lit("").alias("链接"), "标题", F.col("完整地址").alias("地址"), F.lit("").alias("标的物名称"), "建筑面积", *(F.col(c).cast("bigint").cast("string").alias(c) for c in ("评估价_元", "起拍价_元")), "结束时间", "处置机构", F.col("附件数量").cast("string").alias("附件数量"))
+    b = table(spark, d, ALI).select(F.lit("ali").alias("source"), "row_id", "标的物ID", F.lit("").alias("链接"), F.lit("").alias("标题"), F.lit("").alias("地址"), "标的物名称", "建筑面积", F.col("评估价_详情_元").alias("评估价_元"), F.lit("").alias("起拍价_元"), F.lit("").alias("结束时间"), F.col("法院/处置机构").alias("处置机构"), F.col("附件数量").cast("string").alias("附件数量"))
+    return merge.merge_platforms(a.unionByName(b), "source", "row_id", merge.FULL_RULES).withColumn("sources", F.array_join("sources", "；")).withColumn("n_members", F.size("members")).drop("members")
+
+
+@query()
+def merge_component_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """How many components of how many rows the platform merge folds."""
+    return merge.component_sizes(_both_platforms(spark, d), "source", "row_id", RULES)
+
+
+_SHOWN = "case when m < 1000 then cast(cast(round_even(m, 0) as bigint) as varchar) || 'm' else printf('%.2f', m / 1000) || 'km' end"
+
+
+@query("with e as (select *, coalesce(case when lat is not null and lon is not null then lat end, center.lat) as y, coalesce(case when lat is not null and lon is not null then lon end, center.lon) as x from poi_elements), p as (" + _COORD + f""" ),
+    spot as (select printf('%.6f,%.6f', lat, lon) as coord_key, min(lat) as lat, min(lon) as lon from p where lat between 20.0 and 25.8 and lon between 109.0 and 118.0 group by 1),
+    near as ({" union all ".join(f"select coord_key, '{c}' as category, min(m) as m from (select coord_key, 2 * 6371000.0 * asin(sqrt(pow(sin((radians(e.y) - radians(s.lat)) / 2), 2) + cos(radians(s.lat)) * cos(radians(e.y)) * pow(sin(radians(e.x - s.lon) / 2), 2))) as m from spot s join e on abs(e.y - s.lat) < 0.05 where coalesce({_in_category(c)}, false)) where m <= {nearest.CATEGORIES[c][1]} group by coord_key" for c in nearest.CATEGORIES)}),
+    wide as (select coord_key, {", ".join(f"max(case when category = '{c}' then {_SHOWN} end) as c{k}" for k, c in enumerate(nearest.CATEGORIES))} from near group by coord_key)
+    select p.row_id, {", ".join(f"coalesce(c{k}, '') as " + chr(34) + c + chr(34) for k, c in enumerate(nearest.CATEGORIES))} from p left join wide on wide.coord_key = printf('%.6f,%.6f', lat, lon) where p.lat between 20.0 and 25.8 and p.lon between 109.0 and 118.0""")
+def distances_by_coordinate_key(spark: SparkSession, d: str) -> DataFrame:
+    """Each position's row with the distances of all categories, looked up by its coordinate key."""
+    at = positions(spark, d)
+    got = nearest.surroundings_by_place(at, table(spark, d, "poi_elements"))
+    keyed = at.select("row_id", clean.coordinate_key(F.col("lat"), F.col("lon")).alias("coord_key"))
+    return joins.lookup(keyed, got, "coord_key", list(nearest.CATEGORIES)).drop("coord_key")
 
 
 @query(f"select 标的物ID is not null as has_id, count(*) as n, max(time_s) as latest from (select 标的物ID, epoch(ingested_at) as time_s from {POI}) group by 1".replace("max(time_s) as latest", "cast(max(floor(time_s)) as bigint) as latest"))

@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelbase.operators import dedupe
-from gavelbase.session import table
+from gavelbase.session import shared_folder, table
 from gavelbase.streaming.append_log import read_latest, upsert_log
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared one; a temporary one only where none is set, as in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "gavelbase-streams")
-    return f"{shared}/{uuid.uuid4().hex}"
+    """A new folder in the cluster's shared one."""
+    return f"{shared_folder(spark, 'streams')}/{uuid.uuid4().hex}"
 
 
 def append_log_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -31,19 +27,19 @@ def append_log_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def seed_partitions(spark: SparkSession, d: str) -> DataFrame:
-    """Each region with each market segment; the segments are a dimension of a few rows."""
-    segments = table(spark, d, "customer").agg(F.array_sort(F.collect_set("c_mktsegment")).alias("s")).first()["s"]
-    return table(spark, d, "region").select("r_name", F.explode(F.array(*map(F.lit, segments))).alias("segment"))
+    """Each region with each market segment; the distinct segments are gathered into one row that is joined."""
+    segments = table(spark, d, "customer").agg(F.array_sort(F.collect_set("c_mktsegment")).alias("s"))
+    return table(spark, d, "region").crossJoin(F.broadcast(segments)).select("r_name", F.explode("s").alias("segment"))  # one row is joined
 
 
 def page_counts(spark: SparkSession, d: str) -> DataFrame:
     """Pages of 30 that each city's listings fill."""
-    return dedupe.duplicates(table(spark, d, "jd_auction_spider").select("城市", "row_id"), "城市").groupBy("城市").agg(F.ceil(F.max("n_copies") / 30).alias("pages"))
+    return table(spark, d, "jd_auction_spider").where("`城市` is not null").groupBy("城市").agg(F.ceil(F.count("*") / 30).alias("pages"))
 
 
 QUERIES = {"append_log_upsert": append_log_upsert, "seed_partitions": seed_partitions, "page_counts": page_counts}
 ORACLE = {
     "append_log_upsert": "select user_id, arg_max(event_id, (epoch_us(ts), event_id)) as event_id, arg_max(event_type, (epoch_us(ts), event_id)) as event_type from events group by 1",
     "seed_partitions": "select r_name, segment from region, (select distinct c_mktsegment as segment from customer)",
-    "page_counts": "select 城市, cast(ceil(count(*) / 30) as bigint) as pages from jd_auction_spider where 城市 is not null group by 1 having count(*) > 1",
+    "page_counts": "select 城市, cast(ceil(count(*) / 30) as bigint) as pages from jd_auction_spider where 城市 is not null group by 1",
 }

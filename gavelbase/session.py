@@ -20,6 +20,7 @@ def local_session(cpus: int | str = 8, app: str = "gavelbase") -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -34,11 +35,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage in the cluster's shared folder, so that a lost executor costs no recomputation.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in tests, is a temporary one used.
+    The folder is the session's ``spark.checkpoint.dir``; only a local session without one, as in tests, uses a temporary one.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "gavelbase-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession, "checkpoints"))
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, use: str) -> str:
+    """The cluster's shared folder; a temporary one in a local session where none is set. On a cluster a machine's own folder would be lost with it."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    return os.path.join(tempfile.gettempdir(), f"gavelbase-{use}")

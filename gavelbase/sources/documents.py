@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gavelbase.functions.clean import jsonp
 from gavelbase.functions.lazy import arrow_udf
-from gavelbase.sources.workbook import read_cells
+from gavelbase.sources.workbook import read_sheets
 
 SUFFIXES = ("pdf", "doc", "docx", "xls", "xlsx", "txt", "csv")
 
@@ -37,13 +37,8 @@ def _docx(content: bytes) -> str:
 
 
 def _xlsx(content: bytes) -> str:
-    lines, sheet = [], 1
-    while True:
-        rows = list(read_cells(content, sheet))
-        if not rows:
-            return "\n".join(lines)
-        lines += [" | ".join(c for c in r if c) for r in rows if any(r)]
-        sheet += 1
+    """All sheets, blank ones passed over."""
+    return "\n".join(" | ".join(c for c in r if c) for rows in read_sheets(content) for r in rows if any(r))
 
 
 def _pdf(content: bytes) -> str:
@@ -54,10 +49,14 @@ def _pdf(content: bytes) -> str:
     return "\n".join(p.extract_text() or "" for p in PdfReader(io.BytesIO(content)).pages)
 
 
+#: Runs of text in an old document: what is written in it, not its structure.
+_DOC_RUN = re.compile(r"[一-鿿\w，。；：、（）()/.%\s-]*[一-鿿\w][一-鿿\w，。；：、（）()/.%\s-]*")
+
+
 def _doc(content: bytes) -> str:
-    text = content.decode("utf-16-le", "ignore")
-    runs = re.findall(r"[一-鿿\w，。；：、（）()/.%\s-]{20,}", text)
-    return "\n".join(r.strip() for r in runs)
+    """The readable runs of an old document in the encoding that gives most Han characters; a run of two characters counts."""
+    best = max((content.decode(e, "ignore") for e in ("utf-16-le", "utf-8", "gb18030")), key=lambda t: len(re.findall("[一-鿿]", t)))
+    return "\n".join(r.strip() for r in _DOC_RUN.findall(best) if len(r.strip()) >= 2)
 
 
 def attachment_text(name: str, content: bytes) -> str:

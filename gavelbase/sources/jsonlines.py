@@ -14,9 +14,11 @@ def parse_lines(lines: DataFrame, fields: list[str], col: str = "value") -> Data
 
 
 def read_lines(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
-    """Fields of each object, with its file and its place in the file (``_at``) for the order of an append log."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), (F.monotonically_increasing_id()).alias("_at"))
-    return parse_lines(lines, fields)
+    """Fields of each object, with its file and ``_at``, which orders an append log: the file's time and name, where the split lies in it, and the place in the split."""
+    meta = F.col("_metadata")
+    # rows of a split keep their order; the number within a partition grows with it
+    at = F.struct(meta["file_modification_time"].alias("written"), meta["file_path"].alias("file"), meta["file_block_start"].alias("split"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("line"))
+    return parse_lines(spark.read.text(path).select("value", meta["file_path"].alias("_file"), at.alias("_at")), fields)
 
 
 def latest(rows: DataFrame, key: str, *order: str) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 import os
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelbase.functions.clean import legal
@@ -23,8 +23,43 @@ def write_table(df: DataFrame, path: str, partition: list[str] | None = None, mo
     (w.partitionBy(*partition) if partition else w).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    sanitized(df).write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", mark: bool = False) -> None:
+    """CSV with a header; ``mark`` begins each file with a byte order mark, as spreadsheet programs want it."""
+    clean = sanitized(df)
+    if mark and clean.columns:
+        clean = clean.withColumnRenamed(clean.columns[0], "\ufeff" + clean.columns[0])
+    clean.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
+
+
+def write_or_aside(df: DataFrame, path: str, attempts: int = 3) -> str:
+    """Write a table and return where: at ``path``, or, where that fails again and again, beside it under the time, so that no run's result is lost."""
+    for k in range(attempts):
+        try:
+            write_table(df, path)
+            return path
+        except Exception:
+            if k + 1 == attempts:
+                aside = f"{path}_{datetime.now(timezone.utc).strftime('%Y%m%d_%H%M%S')}"
+                write_table(df, aside)
+                return aside
+    return path
+
+
+def save_then_raise(df: DataFrame, path: str, work) -> None:
+    """Do the work; if it fails, save what there is under the time first, then let the error go on."""
+    try:
+        work()
+    except Exception:
+        write_table(df, f"{path}_error_{datetime.now(timezone.utc).strftime('%Y%m%d_%H%M%S')}")
+        raise
+
+
+def manifest(spark: SparkSession, folder: str, parts: dict[str, str], most_parts: int = 10_000) -> dict:
+    """What lies under a folder of regions: of each part (name to path) its rows; written as one document beside them."""
+    if len(parts) > most_parts:
+        raise ValueError(f"a manifest has at most {most_parts} parts")
+    rows = [(name, path, spark.read.parquet(path).count()) for name, path in sorted(parts.items())]
+    return write_report(spark.createDataFrame(rows, "region string, path string, n bigint").orderBy("region"), f"{folder}/manifest.json", most_parts)
 
 
 def write_report(df: DataFrame, path: str, most_rows: int = 10_000) -> dict:

@@ -37,6 +37,29 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
     return None if version is None else spark.read.parquet(f"{path}/v={version}")
 
 
+def _point(spark: SparkSession, path: str, number: int) -> None:
+    """Name the current version: written beside the pointer and renamed over it in one step, so a crash leaves the old one or the new one."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    _, at = _pointer(spark, path)
+    beside = jvm.org.apache.hadoop.fs.Path(f"{path}/_next")
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), conf)
+    fs = at.getFileSystem(conf)
+    out = fs.create(beside, True)
+    out.writeBytes(str(number))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(beside, at, options)
+
+
+def forget(spark: SparkSession, path: str, number: int, kept: int = 2) -> None:
+    """Delete versions but the last ``kept``: readers of the version before the current one may still be at work."""
+    fs, at = _pointer(spark, path)
+    found = sorted((int(f.getPath().getName()[2:]), f.getPath()) for f in fs.listStatus(at.getParent()) if f.getPath().getName().startswith("v="))
+    for n, p in [x for x in found if x[0] <= number][:-kept]:
+        fs.delete(p, True)
+
+
 def upsert_log(stream: DataFrame, path: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
     """Start the upkeep of the table at ``path``; it ends when all that has landed is taken in."""
 
@@ -49,10 +72,8 @@ def upsert_log(stream: DataFrame, path: str, checkpoint: str, key: str, order: l
         old = read_latest(spark, path)
         merged = new if old is None else last_rows(old.unionByName(new), key, order)
         merged.write.mode("overwrite").parquet(f"{path}/v={number}")
-        fs, at = _pointer(spark, path)
-        out = fs.create(at, True)
-        out.writeBytes(str(number))
-        out.close()
+        _point(spark, path, number)
+        forget(spark, path, number)
 
     return stream.writeStream.foreachBatch(take_in).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -64,6 +64,7 @@ CASES = [
     ("area", "详见评估报告", "", None), ("area", "见第3页", "", None), ("area", "", "", None), ("floor", "25/45层", "", 25), ("floor", "负1楼", "", -1), ("floor", "地下一层", "", -1), ("floor", "B1", "", -1), ("floor", "架空层", "", None), ("floor", "底层一楼", "", 1), ("floor", "首层", "", 1), ("floor", "第十四层", "", 14), ("floor", "10层/共28层", "", 10),
     ("floors", "总高二十八层", "", 28), ("floors", "地上45层", "", 45), ("floors", "１７层", "", 17), ("floors", "/", "", None), ("money", "人民币113.46万元整", "", 1134600), ("money", "0.008921亿元", "", 892100), ("money", "1208.3千元", "", 1208300), ("money", "1，512，900元", "", 1512900), ("money", "壹佰零捌万零叁佰元整", "", 1080300),
     ("money", "RMB 472,700.00", "", 472700), ("money", "157.33", "评估总价为人民币157.\n33万元。", 1573300), ("money", "105.13", "（金额单位：万元）估价结果：105.13。", 1051300), ("money", "5.13", "（金额单位：万元）估价结果：105.13。", 5.13), ("money", "详见报告", "", None),
+    ("area", "约1148.5", "建筑面积为1148.5平方英尺。", 1148.5 * 0.09290304), ("area", "1,148.5", "建筑面积为1148.5平方英尺。", 1148.5 * 0.09290304), ("area", "1148.5", "建筑面积为1,148.5平方英尺。", 1148.5 * 0.09290304), ("floors", "25/四十五层", "", 45), ("floor", "25/四十五层", "", 25), ("floor", "共28层", "", None), ("floor", "1.5层", "", None), ("money", "壹佰零捌万零叁佰元伍角贰分", "", 1080300.52), ("money", "壹佰万", "", 1000000),
 ]
 
 
@@ -114,6 +115,20 @@ def test_within_distance_against_brute_force(spark, limit):
     assert slabs.within_distance(p, c.limit(0), 5000.0, ("row_id", "lat", "lon"), ("poi", "y", "x"), broadcast_edges=limit).count() == 0
 
 
+def test_centres_of_different_reach(spark):
+    p = spark.createDataFrame([(1, 23.0, 113.0), (2, 23.02, 113.0)], "row_id bigint, lat double, lon double")
+    c = spark.createDataFrame([(5, 23.0, 113.0, 1000.0), (6, 23.0, 113.0, 3000.0), (7, 23.0, 113.0, None), (8, 23.0, 113.0, -1.0)], "poi bigint, y double, x double, m double")
+    for limit in (slabs.BROADCAST_EDGES, 0):
+        assert sorted((r.point_id, r.centre_id) for r in slabs.within_distance(p, c, "m", ("row_id", "lat", "lon"), ("poi", "y", "x"), broadcast_edges=limit).collect()) == [(1, 5), (1, 6), (2, 6)]
+
+
+def test_floors_come_from_the_automaton(monkeypatch):
+    """Without the aliases of roles no floor below ground and no total is read."""
+    assert units.floor("负1楼", "")[0] == -1 and units.floors("地上45层", "")[0] == 45
+    monkeypatch.setattr(units, "roles_in", lambda text: {})
+    assert units.floor("负1楼", "") is None and units.floors("地上45层", "") is None
+
+
 @pytest.mark.parametrize("limit", [slabs.BROADCAST_EDGES, 0])
 def test_points_in_crossing_regions_and_holes(spark, limit):
     star = [(0.0, 0.0), (1.0, 3.0), (2.0, 0.0), (-0.5, 2.0), (2.5, 2.0)]

@@ -34,11 +34,12 @@ def test_blank_words(spark):
 
 
 def test_text_key_and_array_functions(spark):
-    assert clean.text_key_of("网络司法拍卖 Ａ１栋&amp;（一套）") == "网络a1栋"
+    assert clean.text_key_of("网络司法拍卖 Ａ１栋&amp;（一套）") == "网络a1栋&一套" and clean.text_key_of("第一次拍卖 位于某路的住宅") == "某路的" and clean.text_key_of("NaN") == clean.text_key_of(None) == ""
     df = spark.createDataFrame([("甲；乙|丙\n丁",)], "c string")
     assert df.select(clean.split_joined(F.col("c"))).first()[0] == ["甲", "乙", "丙", "丁"]
     assert df.select(clean.add_to_set(F.lit("a；b"), "b"), clean.add_to_set(F.lit(None).cast("string"), "b")).first()[:] == ("a；b", "b")
-    assert spark.range(1).select(F.array_join(clean.keyword_sentences(F.lit("近地铁。有学校！无"), ["学校"]), "|")).first()[0] == "有学校"
+    assert spark.range(1).select(F.array_join(clean.keyword_sentences(F.lit("近地铁。有学校！无"), ["学校"]), "|")).first()[0] == "有学校！"
+    assert one(spark, "甲。乙！\n丙1.5米. 丁；；甲。", clean.sentences, "string") == ["甲。", "乙！", "丙1.5米.", "丁；"]
 
 
 def test_keep_most_complete_and_group_reduce(spark):
@@ -165,12 +166,30 @@ def test_extractors():
     assert extract.sections("拍品名称：甲宅\n欠费情况：无欠费\n拍品名称：乙") == {"拍品名称": "甲宅", "欠费情况": "无欠费"}
     assert extract.labelled("产权证号：粤123；建筑总面积：80㎡\n所在楼层\n3层") == {"权证情况": "粤123", "建筑面积": "80㎡", "所在层": "3层"}
     assert extract.form_rows([["标的名称", "甲宅", "用途", "/"], ["序号", "建筑面积", "所在层", "总层数"], ["1", "80", "3", "9"]]) == {"标的物名称": "甲宅", "建筑面积": "80", "所在层": "3", "总层数": "9"}
-    assert extract.inline("建筑面积为80.5平方米，所在层为第3层，总层数9层，建成于2010年") == {"建筑面积": "80.5", "所在层": "3", "总层数": "9", "竣工时间": "2010"}
-    assert extract.region("岭海省碧江市绿洲区某路") == {"province": "岭海省", "city": "碧江市", "county": "绿洲区"}
+    assert extract.inline("建筑面积为80.5平方米，所在层为第3层，总层数9层，建成于2010年") == {"建筑面积": "80.5", "所在层": "3", "总层数": "9", "竣工时间": "2010年"}
     assert extract.label_section("介绍\n周边配套：近公园、学校\n其他") == "近公园、学校"
     assert extract.description(None) == {} and extract.form_rows(None) == {}
 
 
+@pytest.mark.parametrize("text,want", [
+    ("岭海省碧江市绿洲区某路", ("岭海省", "碧江市", "绿洲区")), ("岭海鹤洲市孝感县某路", ("岭海", "鹤洲市", "孝感县")), ("碧江市绿洲区某路", ("", "碧江市", "绿洲区")), ("广东省东莞市东莞市南城街道1号", ("广东", "东莞市", "")), ("广东广州市天河区天河路", ("广东", "广州市", "天河区")), ("北京市朝阳区某路", ("北京市", "北京市", "朝阳区")), (None, ("", "", "")),
+])
+def test_regions(spark, text, want):
+    assert tuple(one(spark, text, extract.region_parts)) == want
+
+
+def test_all_sheets_of_a_workbook(tmp_path, spark):
+    parts = {f"xl/worksheets/sheet{k}.xml": f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{rows}</sheetData></worksheet>' for k, rows in ((1, '<row r="1"><c r="A1" t="inlineStr"><is><t>甲</t></is></c></row>'), (2, ""), (3, '<row r="1"><c r="B1" t="inlineStr"><is><t>乙</t></is></c></row>'))}
+    with zipfile.ZipFile(tmp_path / "a.xlsx", "w") as z:
+        for n, t in parts.items():
+            z.writestr(n, t)
+    assert documents.attachment_text("a.xlsx", (tmp_path / "a.xlsx").read_bytes()) == "甲\n乙"
+    spark.dataSource.register(workbook.WorkbookSource)
+    workbook.write_workbook(spark.createDataFrame([(str(k), f"v{k}", "x") for k in range(10)], "a string, b string, c string").orderBy("a"), str(tmp_path / "b.xlsx"))
+    got = spark.read.format("workbook").option("path", str(tmp_path / "b.xlsx")).option("columns", "c|b|none").option("start", "3").option("limit", "2").load()
+    assert got.columns == ["c", "b", "_row"] and sorted(tuple(r) for r in got.collect()) == [("x", "v3", 4), ("x", "v4", 5)]
+
+
 def test_append_log_stream_equals_batch(spark, tmp_path):
     log, table, mark = (str(tmp_path / x) for x in ("log", "table", "mark"))
     first = [("a", 1, "x"), ("b", 1, "y"), ("a", 3, "z")]
@@ -179,7 +198,7 @@ def test_append_log_stream_equals_batch(spark, tmp_path):
         spark.createDataFrame(part, "id string, t int, v string").write.mode("append").json(log)
         upsert_log(spark.readStream.schema("id string, t int, v string").json(log), table, mark, "id", ["t"]).awaitTermination()
     assert {r.id: r.v for r in read_latest(spark, table).collect()} == {"a": "z", "b": "new", "c": "c"}
-    assert current_version(spark, table) == 1 and read_latest(spark, str(tmp_path / "none")) is None
+    assert current_version(spark, table) == 1 and not list((tmp_path / "table").glob("_next*")) and read_latest(spark, str(tmp_path / "none")) is None
 
 
 def test_windowed_counts(spark, tmp_path):

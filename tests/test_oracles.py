@@ -7,11 +7,11 @@ import duckdb
 import pytest
 
 import oracle_check
-from gavelbase.plans import geo_units_packed, listings, streams
+from gavelbase.plans import geo_units_packed, landed, listings, streams
 
 D = "/root/testdata/sf0.001"
-QUERIES = {n: f for m in (geo_units_packed, listings, streams) for n, f in m.QUERIES.items()}
-SQL = {n: f for m in (geo_units_packed, listings, streams) for n, f in m.ORACLE.items()}
+QUERIES = {n: f for m in (geo_units_packed, listings, landed, streams) for n, f in m.QUERIES.items()}
+SQL = {n: f for m in (geo_units_packed, listings, landed, streams) for n, f in m.ORACLE.items()}
 pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="no test tables")
 
 
