@@ -291,6 +291,8 @@ def _classes(text: str) -> np.ndarray:
 
 #: Places of the neighbours that make a context; the first two have neighbours on both sides, the last tells dates from counts.
 CONTEXTS = ((-2, -1, 1), (-1, 1, 2), (-3, -2, -1), (1, 2, 3), (-6, -5, -4, -3, -2, -1))
+#: The contexts of signs: those of one side are their first or last character's as well.
+BOTH_SIDES = 2
 
 
 #: Where all neighbours lie beyond the text's ends.
@@ -311,7 +313,7 @@ def together(texts: list[str]) -> str:
 def contexts(c: np.ndarray, at: np.ndarray, size: int = 1) -> np.ndarray:
     """Hashes of the contexts (one row per kind) of what stands at the places and is ``size`` characters long. c: classes of texts put together; the texts' ends are a class of their own."""
     out = []
-    for kind, places in enumerate(CONTEXTS):
+    for kind, places in enumerate(CONTEXTS if size == 1 else CONTEXTS[:BOTH_SIDES]):
         h = np.full(len(at), kind + 1, np.uint64)
         some = np.zeros(len(at), bool)
         for p in places:
@@ -320,7 +322,7 @@ def contexts(c: np.ndarray, at: np.ndarray, size: int = 1) -> np.ndarray:
             h = (h ^ near) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(31)
         out.append(np.where(some, ((h >> np.uint64(64 - CONTEXT_BITS)) << np.uint64(3) | np.uint64(kind)).view(np.int64), NO_CONTEXT))
-    return np.array(out).reshape(len(CONTEXTS), -1)
+    return np.array(out).reshape(len(out), -1)
 
 
 def units(text: str, signs: Signs) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
@@ -449,12 +451,15 @@ def misread(lines: DataFrame) -> DataFrame:
                 total[k] = np.minimum(total.get(k, 0) + np.frombuffer(cells, np.uint8).astype(np.uint16), LEAST)
         yield pd.DataFrame({"k": list(total), "cells": [np.packbits(v >= LEAST).tobytes() for v in total.values()]})
 
-    # contexts used less often can neither call for a character nor be doubted; tasks' counters are added up by blocks
-    often = runs.mapInPandas(first_count, "k bigint, cells binary").repartition("k").mapInPandas(add, "k bigint, cells binary")
-    bits = np.zeros(1 << power, bool)
-    for r in often.collect():  # a bit for each counter
-        bits[r["k"] * block : (r["k"] + 1) * block] = np.unpackbits(np.frombuffer(r["cells"], np.uint8)).astype(bool)
-    reach = spark.sparkContext.broadcast(np.packbits(bits))
+    def bits_of(blocks: DataFrame):
+        """A bit for each counter that reaches ``LEAST``, sent to all tasks; tasks' counters are added up by blocks."""
+        bits = np.zeros(1 << power, bool)
+        for r in blocks.repartition("k").mapInPandas(add, "k bigint, cells binary").collect():
+            bits[r["k"] * block : (r["k"] + 1) * block] = np.unpackbits(np.frombuffer(r["cells"], np.uint8)).astype(bool)
+        return spark.sparkContext.broadcast(np.packbits(bits))
+
+    # contexts used less often can neither call for a character nor be doubted
+    reach = bits_of(runs.mapInPandas(first_count, "k bigint, cells binary"))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(reach.value).astype(bool)
@@ -495,10 +500,10 @@ def misread(lines: DataFrame) -> DataFrame:
             yield pd.DataFrame({"ch": ch, "n": n})
 
     uses = runs.mapInPandas(characters, "ch bigint, n bigint").groupBy("ch").agg(F.sum("n").alias("uses"))
-    called = judged.where("ch = right").groupBy("ch").agg((F.sum("n") / base).alias("own"), F.sum(F.when(sure, F.col("all"))).alias("mass"))
+    called = judged.where("ch = right").groupBy("ch").agg((F.sum("n") / base).alias("own"), F.sum(F.when(sure, F.col("all"))).alias("mass"), F.sum(F.when(sure & (F.pmod("ctx", F.lit(8)) < BOTH_SIDES), F.col("all"))).alias("both"))
     pairs = doubted.groupBy("ch", "right").agg(F.sum("all").alias("cover"))
-    pairs = pairs.join(uses, "ch").join(called.select("ch", "own"), "ch", "left").join(called.select(F.col("ch").alias("right"), "mass"), "right")
-    own, cover = F.coalesce("own", F.lit(0.0)) / F.col("uses"), F.col("cover") / F.col("mass")
+    pairs = pairs.join(uses, "ch").join(called.select("ch", "own"), "ch", "left").join(called.select(F.col("ch").alias("right"), "mass", "both"), "right")
+    own, cover = F.coalesce("own", F.lit(0.0)) / F.col("uses"), F.col("cover") / F.when(F.col("ch") >= SIGN, F.col("both")).otherwise(F.col("mass"))
     pairs = pairs.where((cover >= COVER) | (own <= OWN) & (cover >= COVER_RARE)).select("ch", "right", (own > OWN).alias("common"))
     known = [r for r in pairs.limit(MAX_PAIRS + 1).collect()]
     if len(known) > MAX_PAIRS:
@@ -507,11 +512,25 @@ def misread(lines: DataFrame) -> DataFrame:
     wrong = spark.sparkContext.broadcast(np.unique(np.array([r["ch"] for r in known], np.int64)))
     small = F.broadcast(spark.createDataFrame([tuple(r) for r in known], "ch bigint, right bigint, common boolean"))
     rules = doubted.select("ctx", "ch", "right").join(small, ["ch", "right"]).select("ctx", "ch", "right")
+    marked = lambda ctx, ch: counter((ctx.view(np.uint64) ^ ch.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64) & np.int64(2**63 - 1))
+
+    def mark(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells = np.zeros(1 << power, np.uint8)
+        for x in frames:
+            cells[marked(x["ctx"].to_numpy(np.int64), x["ch"].to_numpy(np.int64))] = LEAST
+        cells = cells.reshape(-1, block)
+        some = np.flatnonzero(cells.any(axis=1))
+        yield pd.DataFrame({"k": some, "cells": [cells[k].tobytes() for k in some]})
+
+    rules = checkpoint(rules)
+    # a place whose contexts are all beside these bits meets no rule
+    ruled = bits_of(rules.mapInPandas(mark, "k bigint, cells binary"))
     # a common character is in its place where a context calls for it
     vetoes = calls.select("ctx", F.col("right").alias("ch")).join(small.where("common").select("ch").distinct(), "ch").select("ctx", "ch", F.lit(None).cast("bigint").alias("right"))
     rules = rules.unionByName(vetoes)
 
     def places(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.unpackbits(ruled.value).astype(bool)
         for x in frames:
             got = [running_text(t.split("\n"), list(p)) for t, p in zip(x["text"], x["path"])]
             text = together([g[0] for g in got])
@@ -520,6 +539,11 @@ def misread(lines: DataFrame) -> DataFrame:
             for ch, at, c, size in units(text, signs.value):
                 some = np.isin(ch, wrong.value)
                 ch, at = ch[some], at[some]
+                h = contexts(c, at, size)
+                some = np.zeros(len(at), bool)
+                for k in h:
+                    some |= bits[marked(k, ch)]
+                ch, at, h = ch[some], at[some], h[:, some]
                 if not len(at):
                     continue
                 of = np.searchsorted(start, at, side="right") - 1
@@ -527,7 +551,7 @@ def misread(lines: DataFrame) -> DataFrame:
                 line, place = [g[1][j] for g, j in within], [g[2][j] for g, j in within]
                 out = pd.DataFrame({"row_id": x["row_id"].to_numpy()[of], "field_name": x["field_name"].to_numpy()[of], "line_no": line, "place": place, "ch": ch})
                 one = np.array([size == 1 or g[1][j + 1] == g[1][j] and g[2][j + 1] == g[2][j] + 1 for g, j in within])  # a sign lies in one line
-                yield pd.concat([out[one].assign(ctx=k[one]) for k in contexts(c, at, size)])[["row_id", "field_name", "line_no", "place", "ctx", "ch"]]
+                yield pd.concat([out[one].assign(ctx=k[one]) for k in h])[["row_id", "field_name", "line_no", "place", "ctx", "ch"]]
 
     found = lines.mapInPandas(places, "row_id bigint, field_name string, line_no int, place int, ctx bigint, ch bigint")
     judged = found.join(rules, ["ctx", "ch"]).groupBy("row_id", "field_name", "line_no", "place").agg(F.min("right").alias("right"), F.max((F.col("ch") >= SIGN).cast("int")).alias("more"), F.sum(F.col("right").isNull().cast("int")).alias("in_place"))
