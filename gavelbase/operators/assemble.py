@@ -116,7 +116,7 @@ def supervision(log: DataFrame, wanted: DataFrame, key: Column, done: Column) ->
 def row_contexts(df: DataFrame, row_id: str, title: Column, text: Column, patterns: list[str], before: int = 1, after: int = 2) -> DataFrame:
     """row_id, line_no and context of the first line of a text that holds one of the names that a title gives (by patterns, group 1), white space aside."""
     names = F.array_distinct(F.flatten(F.array(*(F.regexp_extract_all(title, F.lit(p), 1) for p in patterns))))
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     cut = df.select(F.col(f"`{row_id}`"), F.filter(names, lambda x: x != "").alias("_n"), lines.alias("_l"))
     hit = F.transform("_l", lambda line, i: F.when(F.exists("_n", lambda n: F.replace(line, F.lit(" ")).contains(F.replace(n, F.lit(" ")))), i + 1))
     at = F.array_min(F.array_compact(hit))
