@@ -22,6 +22,8 @@ ESTATE_ENDS = ("花园", "小区", "公寓", "广场", "家园", "新城", "名
 
 _NUM = "".join(DIGITS)[:12] + "".join(SMALL)[:3]
 _HAN_BEFORE = re.compile(rf"(?<![一-鿿])?第?([{_NUM}]+)(?=号|栋|幢|座|#|楼|单元|层|房|室|单位)")
+#: A room's number behind its house, with nothing behind it.
+_HAN_ROOM = re.compile(rf"(?<=[楼栋幢座#])([{_NUM}]{{3,6}})(?=$|[\s,，;；(（])")
 _HEAD = re.compile(r"^[【\[][^】\]]*[】\]]|^.{0,14}?位于|^坐落(?:于)?[:：]?|^地址[:：]?")
 _TAIL = re.compile(r"(?:[【\[][^】\]]*[】\]]$|[(（](?:含装修|二拍|一拍|变卖|[一二三]次拍卖)[)）]|(?:的)?(?:不动产|房地产)$|(?:的)?房产一?[处套]?$|(?:的)?(?:住宅|商铺|厂房|车位|别墅|写字楼|办公|公寓)一[套间处个]$|的(?:住宅|商铺|厂房|车位|别墅|写字楼|办公|公寓)$|一[处套间个]$|司法拍卖$|\\s+$)")
 _ROAD = re.compile(r"^([一-鿿]{1,8}?(?:大道|大街|公路|胡同(?=\d)|路|街|巷|(?<!街)道(?=\d)|[里弄](?=\d)))(?!道)(?:(\d{1,5})(?:-\d{1,3})?(弄)?)?(?:号(?!楼)|#(?!楼))?")
@@ -110,6 +112,7 @@ def parse(text: str | None, places: Places) -> dict[str, str]:
         s = _TAIL.sub("", s.strip())
     s = _HEAD.sub("", s)
     s = _HAN_BEFORE.sub(lambda m: m.group().replace(m.group(1), str(int(v)) if (v := han_number(m.group(1))) is not None else m.group(1)), s)
+    s = _HAN_ROOM.sub(lambda m: str(int(v)) if (v := han_number(m.group(1))) is not None else m.group(1), s)
     for part in re.split(r"[\s,，、;；()（）]+", s):
         part = part.strip("。.的")
         while part:

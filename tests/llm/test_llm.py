@@ -271,7 +271,7 @@ def test_posterior_decides(spark):
 
 
 @pytest.mark.parametrize("text,want", [
-    ("万科城市之光12栋10203房", ("万科城市之光", "12", "", "10203")), ("人民路5弄3号601室", ("", "3", "", "601")), ("碧江市绿洲区松堤家园3栋1单元12号", ("松堤家园", "3", "1", "12")), ("松堤家园A座1201", ("松堤家园", "a", "", "1201")), ("海棠公寓128号车位", ("海棠公寓", "", "", "#128")), ("中山道15号兰亭里8号楼1门302", ("兰亭里", "8", "1", "302")),
+    ("万科城市之光12栋10203房", ("万科城市之光", "12", "", "10203")), ("人民路5弄3号601室", ("", "3", "", "601")), ("碧江市绿洲区松堤家园3栋1单元12号", ("松堤家园", "3", "1", "12")), ("松堤家园A座1201", ("松堤家园", "a", "", "1201")), ("海棠公寓128号车位", ("海棠公寓", "", "", "#128")), ("中山道15号兰亭里8号楼1门302", ("兰亭里", "8", "1", "302")), ("松堤家园7号楼七〇一（绿洲区）", ("松堤家园", "7", "", "701")),
 ])
 def test_other_forms_of_rooms(text, want):
     p = parse(text, PLACES)
