@@ -6,16 +6,24 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gavelbase.llm import queries as llm
-from gavelbase.llm.mixing import mix
 from gavelbase.plans import geo_units_packed, region
 from gavelbase.plans.pipeline import Pipeline
 from gavelbase.session import local_session, table
 
-#: Training-data stages over the landed tables: stage to query.
-OPERATORS = {
-    "records": llm.p1_records, "stations": geo_units_packed.p2_found, "units_matched": llm.p3_matches, "quantities": geo_units_packed.p4_found, "unpacked": geo_units_packed.p5_found, "places_linked": llm.p6_found, "paragraphs": llm.p7_paragraphs, "leaks": llm.p8_found, "look_alikes": llm.p10_found,
-}
+try:
+    from gavelbase.llm import queries as llm
+    from gavelbase.llm.mixing import mix
+except ModuleNotFoundError as missing:
+    if missing.name != "gavelbase.llm":  # only the subpackage itself may be away
+        raise
+    llm = None
+
+#: Training-data stages over the landed tables: stage to query; those of the subpackage only where it is there.
+OPERATORS = {"stations": geo_units_packed.p2_found, "quantities": geo_units_packed.p4_found, "unpacked": geo_units_packed.p5_found}
+if llm:
+    OPERATORS |= {"records": llm.p1_records, "units_matched": llm.p3_matches, "places_linked": llm.p6_found, "paragraphs": llm.p7_paragraphs, "leaks": llm.p8_found, "look_alikes": llm.p10_found}
+#: Stages over the operators' tables.
+AFTER = ("documents_kept", "mix", "shares") if llm else ()
 
 
 def kept(documents: DataFrame, leaks: DataFrame, look_alikes: DataFrame) -> DataFrame:
@@ -30,6 +38,8 @@ def build(spark: SparkSession, d: str, out: str) -> Pipeline:
     region.stages(p, d)
     for name, query in OPERATORS.items():
         p.stage(name)(lambda run, query=query: query(run.spark, d))
+    if not llm:
+        return p
     p.stage("documents_kept")(lambda run: kept(table(spark, d, "documents"), run.table("leaks"), run.table("look_alikes")))
     for k, name in enumerate(("mix", "shares")):
         p.stage(name)(lambda run, k=k: mix(run.table("documents_kept"), table(spark, d, "mix_targets"))[k])

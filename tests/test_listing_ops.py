@@ -243,7 +243,7 @@ def test_pipeline_over_the_tables(spark, tmp_path):
 
     d = "/root/testdata/sf0.001"
     p = run_pipeline.build(spark, d, str(tmp_path))
-    assert [n for n, _ in p.stages] == ["index", "jd_detail", "ali_detail", "ali_second_pass", "aligned", "merged", "organised", *run_pipeline.OPERATORS, "documents_kept", "mix", "shares"]
+    assert [n for n, _ in p.stages] == ["index", "jd_detail", "ali_detail", "ali_second_pass", "aligned", "merged", "organised", *run_pipeline.OPERATORS, *run_pipeline.AFTER]
     p.run(until="organised")
     assert {r.source for r in p.table("aligned").select("source").distinct().collect()} == {"jd", "ali"}
     # every aligned row is a member of one organised row
