@@ -230,6 +230,11 @@ def test_linked_addresses(spark):
     assert linkage.linked(rows.limit(0)).count() == 0
 
 
+def shuffled_last(df):
+    """What the plan does behind its last shuffle."""
+    return df._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+
+
 def test_all_provinces_are_known(spark):
     courts = spark.createDataFrame([("岭海省碧江市绿洲区人民法院",)], "c string")
     names = [(chr(0x4E00 + k // 40) + chr(0x5000 + k % 40) + "省",) for k in range(1500)]
@@ -317,6 +322,32 @@ def test_vectors_decide_which_records_meet(spark):
     assert got <= want and len(got) >= 0.9 * len(want) and len(chance) < 0.7 * len(want)
 
 
+def test_near_records_equal_all_pairs(monkeypatch):
+    """Records meet by code and room or figure in any table as in a plain search, in steps of any size."""
+    rng = np.random.default_rng(5)
+    node, side, room = rng.integers(0, 25, 200), rng.integers(0, 2, 200), rng.integers(0, 6, 200)
+    figures = [rng.integers(0, 40, k % 4) for k in range(200)]
+    vectors = rng.standard_normal((25, 4)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    codes = rng.integers(0, 4, (25, 3))
+    shares = lambda i, j: room[i] == room[j] if room[i] and room[j] else bool(set(figures[i]) & set(figures[j]))
+    near = lambda i, j: node[i] == node[j] or (codes[node[i]] == codes[node[j]]).any() and vectors[node[i]] @ vectors[node[j]] >= np.cos(np.radians(entities.WIDEST))
+    want = {(i, j) for i in range(200) for j in range(200) if side[i] == 0 and side[j] == 1 and shares(i, j) and near(i, j)}
+    for step in (entities.STEP, 3):
+        monkeypatch.setattr(entities, "STEP", step)
+        monkeypatch.setattr(entities.together, "__defaults__", (step,))
+        a, b, cosine = entities.near_records(node, side, room, figures, vectors, codes)
+        assert len(want) > 50 and set(zip(a.tolist(), b.tolist())) == want and len(a) == len(want) and (cosine[node[a] == node[b]] == 1).all()
+
+
+def test_codes_stay_in_their_task_and_pairs_of_rows_are_not_shuffled(spark):
+    left = [(k, "碧江市绿洲区迎康路119号松堤家园7栋701房", 94.33, 875400.0) for k in range(120)]
+    right = [(1000 + k, "碧江绿洲迎康路119号7栋701", 94.33, 875400.0) for k in range(90)]
+    out = entities.match(side(spark, left), side(spark, right))
+    assert shuffled_last(out).count("Generate explode") == 2
+    assert {(r.left_id, r.right_id) for r in out.collect()} == {(a, 1000 + b) for a in range(120) for b in range(90)} and out.count() == 120 * 90
+
+
 def test_skip_gram_brings_neighbours_together():
     road = np.arange(0, 80, 2)
     a, b, n = np.concatenate([road, road, road + 1]), np.concatenate([road + 1, road, road + 1]), np.full(120, 5)
