@@ -235,6 +235,19 @@ def shuffled_last(df):
     return df._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
 
 
+def test_many_copies_are_paired_behind_the_last_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "LIST", 7, raising=False)
+    rows = [(k, "岭海省碧江市绿洲区迎康路119号松堤家园7栋701房") for k in range(40)] + [(100 + k, "碧江绿洲迎康路一百一十九号松松堤家园7-701") for k in range(25)] + [(3, "岭海省碧江市绿洲区迎康路119号松堤家园7栋701房"), (4, "碧江绿洲迎康路一百一十九号松松堤家园7-701")]
+    want = lambda ids: sorted((a, b) for a in ids for b in ids if a < b)
+    for some in (rows[:-2], rows[:-1]):  # once with an id that comes twice
+        out = linkage.linked(linkage.parsed(spark.createDataFrame(some, "row_id bigint, a string"), "row_id", F.col("a"), PLACES))
+        assert shuffled_last(out).count("Generate explode") == 2
+        assert sorted((r.row_id_a, r.row_id_b) for r in out.collect()) == want([k for k, _ in rows[:65]])
+    # an id with two addresses of the unit
+    out = linkage.linked(linkage.parsed(spark.createDataFrame(rows, "row_id bigint, a string"), "row_id", F.col("a"), PLACES)).where("row_id_a <> row_id_b")
+    assert sorted((r.row_id_a, r.row_id_b) for r in out.collect()) == want([k for k, _ in rows[:65]])
+
+
 def test_all_provinces_are_known(spark):
     courts = spark.createDataFrame([("岭海省碧江市绿洲区人民法院",)], "c string")
     names = [(chr(0x4E00 + k // 40) + chr(0x5000 + k % 40) + "省",) for k in range(1500)]
