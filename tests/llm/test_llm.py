@@ -63,6 +63,17 @@ def test_mixed_weights_prefer_what_is_full_trusted_and_recent(spark):
     assert get("mixed") == {1: "房屋空置，钥匙已移交法院", 2: "由产权人使用"} and get("recency") == {1: "空置", 2: "由产权人使用"}
 
 
+def test_the_latest_value_needs_no_alignment(spark):
+    """Votes that could change no row aren't counted; the mixed weights' votes are."""
+    rows = [(k, str(k % 3), f"2024-01-{k % 5 + 1:02} 00:00:00", ["空置", "由承租人使用", None, "已腾空", "空置"][k % 7 % 5], "1") for k in range(60)]
+    df = spark.createDataFrame(rows, "row_id bigint, `标的物ID` string, at string, a string, b string")
+    plan = lambda weights: best(df, weights)._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan("recency") and "ArrowEvalPython" not in plan("recency") and "InPandas" in plan("mixed")
+    got = {(r.item, r.field_name): r.row_id for r in best(df).collect()}
+    usable = lambda g, f: [(r[2], -r[0]) for r in rows if int(r[1]) == g and r[3 + (f == "b")]]
+    assert got == {(g, f): -max(usable(g, f))[1] for g in range(3) for f in "ab"}
+
+
 def test_hot_group_is_folded_in_chunks(spark):
     r = random.Random(1)
     rows = [(k, "1", f"2024-01-{k // 1440 % 28 + 1:02} {k // 60 % 24:02}:{k % 60:02}:00", f"第{r.randrange(10**6)}号说法", "1") for k in range(900)]
