@@ -259,6 +259,14 @@ def test_many_copies_are_paired_behind_the_last_shuffle(spark, monkeypatch):
     assert sorted((r.row_id_a, r.row_id_b) for r in out.collect()) == want([k for k, _ in rows[:65]])
 
 
+def test_left_out_houses_and_swapped_long_names_meet(spark):
+    rows = [(1, "碧江市绿洲区迎康路119号松堤家园7栋701房"), (2, "碧江市绿洲区迎康路119号701房"), (3, "绿洲区松堤家园 701室"), (4, "碧江市绿洲区盈口路5号桂岛小区1栋302房"), (5, "碧江市绿洲区盈口路5号桂岛小区2栋302房"), (6, "碧江市绿洲区盈口路5号302房")]
+    rows += [(7, "碧江市绿洲区建国门大街9号3栋801房"), (8, "碧江市绿洲区建门国大街9号3栋801房"), (9, "碧江市绿洲区建国门大街9号4栋801房")]
+    parts = linkage.parsed(spark.createDataFrame(rows, "row_id bigint, a string"), "row_id", F.col("a"), PLACES)
+    got = {(r.row_id_a, r.row_id_b) for r in linkage.linked(parts).collect()}
+    assert got == {(1, 2), (1, 3), (2, 3), (7, 8)}
+
+
 def test_all_provinces_are_known(spark):
     courts = spark.createDataFrame([("岭海省碧江市绿洲区人民法院",)], "c string")
     names = [(chr(0x4E00 + k // 40) + chr(0x5000 + k % 40) + "省",) for k in range(1500)]
